@@ -83,5 +83,30 @@ def oracle(name: str):
 
 
 def load_all() -> dict[str, str]:
-    from . import o_profile  # noqa: F401
+    from . import o_prep, o_profile  # noqa: F401
     return ORACLES
+
+
+# Engineered transactions (feature projection) as a CTE.
+DAY_PERIODS = ["Madrugada", "Mañana", "Tarde", "Noche"]
+HOUR_SQL = ("(CASE WHEN (Time / 3600.0::DOUBLE) % 24.0::DOUBLE < 0 "
+            "THEN ((Time / 3600.0::DOUBLE) % 24.0::DOUBLE + 24.0::DOUBLE) % 24.0::DOUBLE "
+            "ELSE (Time / 3600.0::DOUBLE) % 24.0::DOUBLE END)")
+ENG_DOUBLES = ["Amount_Log", "Hour", "V1_V2", "V1_V3", "V2_V3", "V14_Sq", "V17_Sq", "PCA_Dist"]
+PERIOD_COLS = [f"Period_{p}" for p in DAY_PERIODS]
+ENG_COLS = [*TX_COLS, "Amount_Log", "Hour", "Day_Period", "V1_V2", "V1_V3", "V2_V3", "V14_Sq",
+            "V17_Sq", "PCA_Dist", *PERIOD_COLS]
+
+
+def day_period_sql(h: str) -> str:
+    return (f"CASE WHEN {h} >= 0 AND {h} <= 6 THEN 'Madrugada' WHEN {h} > 6 AND {h} <= 12 THEN 'Mañana' "
+            f"WHEN {h} > 12 AND {h} <= 18 THEN 'Tarde' WHEN {h} > 18 AND {h} <= 24 THEN 'Noche' END")
+
+
+def eng_cte(src: str = "transactions", name: str = "eng") -> str:
+    dummies = ", ".join(f"coalesce(Day_Period = '{p}', false) AS \"Period_{p}\"" for p in DAY_PERIODS)
+    return (f"{name}0 AS (SELECT *, ln(1 + Amount) AS Amount_Log, {HOUR_SQL} AS Hour, "
+            f"{day_period_sql(HOUR_SQL)} AS Day_Period, V1 * V2 AS V1_V2, V1 * V3 AS V1_V3, V2 * V3 AS V2_V3, "
+            f"V14 * V14 AS V14_Sq, V17 * V17 AS V17_Sq, "
+            f"sqrt(V1 * V1 + V2 * V2 + V3 * V3 + V4 * V4 + V5 * V5) AS PCA_Dist FROM {src}),\n"
+            f"{name} AS (SELECT *, {dummies} FROM {name}0)")
