@@ -41,4 +41,4 @@ def scored(spark, d):
 
 
 # Modules below register their queries on import.
-from . import q_profile, q_prep  # noqa: E402,F401
+from . import q_prep, q_profile, q_sampling  # noqa: E402,F401
