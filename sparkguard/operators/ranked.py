@@ -52,3 +52,28 @@ def approximate_mode(class_counts: DataFrame, label: str, count_col: str, draw:
     rk = F.row_number().over(Window.orderBy(F.desc("_rem"), F.asc(label)))
     return t.withColumn("quota", (F.col("_fl") + (rk <= F.col("_need")).cast("long")).cast("long")) \
             .select(label, count_col, "_total", "quota")
+
+
+def prefix_sums(df: DataFrame, partition_cols: list[str], order_col: str, bucket: Column,
+                values: list[str]) -> DataFrame:
+    """Exclusive running sums of ``values`` in ``order_col`` order inside each
+    partition (``{v}_below``), partition totals (``{v}_total``) and the
+    1-based position ``_pos`` -- bucketed like ``ranked`` (``order_col`` must
+    be unique inside a partition, e.g. after aggregating to distinct scores)."""
+    parts = list(partition_cols)
+    b = df.withColumn("_b", bucket)
+    tot = b.groupBy(*parts, "_b").agg(*[F.sum(v).alias(f"_bt_{v}") for v in values],
+                                      F.count(F.lit(1)).alias("_bn"))
+    w = Window.partitionBy(*parts).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    wp = Window.partitionBy(*parts)
+    offs = tot.select(*parts, "_b",
+                      *[F.coalesce(F.sum(f"_bt_{v}").over(w), F.lit(0)).alias(f"_bo_{v}") for v in values],
+                      F.coalesce(F.sum("_bn").over(w), F.lit(0)).alias("_bo_n"),
+                      *[F.sum(f"_bt_{v}").over(wp).alias(f"{v}_total") for v in values])
+    wi = Window.partitionBy(*parts, "_b").orderBy(order_col)
+    inner = b.withColumns({**{f"_in_{v}": F.coalesce(F.sum(v).over(wi.rowsBetween(Window.unboundedPreceding, -1)),
+                                                     F.lit(0)) for v in values},
+                           "_in_rn": F.row_number().over(wi)})
+    out = inner.join(F.broadcast(offs), [*parts, "_b"])
+    return out.select(*df.columns, *[(F.col(f"_bo_{v}") + F.col(f"_in_{v}")).alias(f"{v}_below") for v in values],
+                      *[F.col(f"{v}_total") for v in values], (F.col("_bo_n") + F.col("_in_rn")).alias("_pos"))
