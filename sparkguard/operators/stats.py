@@ -20,3 +20,236 @@ def fraud_ratio_by_hour(df: DataFrame, hour: str = "Hour", label: str = LABEL) -
     """``(hour, class_0, class_1, fraud_ratio)`` with ratio = c1 / (c0 + c1)."""
     ct = hour_crosstab(df, hour, label)
     return ct.withColumn("fraud_ratio", safe_div(F.col("class_1"), F.col("class_0") + F.col("class_1")))
+
+
+# ---------------------------------------------------------------- correlation
+import numpy as np  # noqa: E402
+import pandas as pd  # noqa: E402
+from pyspark.sql import Column, Window  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from .quantiles import quantiles  # noqa: E402
+
+GRAM_SCHEMA = "a int, b int, n long, sa double, sb double, qa double, qb double, p double"
+
+
+def _gram_partition(d: int):
+    def fn(batches):
+        n = np.zeros((d, d)); sa = np.zeros((d, d)); qa = np.zeros((d, d)); pp = np.zeros((d, d))
+        seen = False
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            seen = True
+            x = pdf.to_numpy(dtype="float64", na_value=np.nan)
+            m = np.isfinite(x) | np.isinf(x)
+            m &= ~np.isnan(x)
+            mf = m.astype("float64")
+            x0 = np.where(m, x, 0.0)
+            n += mf.T @ mf
+            sa += x0.T @ mf
+            qa += (x0 * x0).T @ mf
+            pp += x0.T @ x0
+        if not seen:
+            return
+        a, b = np.meshgrid(np.arange(d), np.arange(d), indexing="ij")
+        yield pd.DataFrame({"a": a.ravel().astype("int32"), "b": b.ravel().astype("int32"),
+                            "n": n.ravel().astype("int64"), "sa": sa.ravel(), "sb": sa.T.ravel(),
+                            "qa": qa.ravel(), "qb": qa.T.ravel(), "p": pp.ravel()})
+    return fn
+
+
+def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Pearson correlation, pairwise complete: ``(feature_a, ord_a, feature_b,
+    ord_b, corr)`` for all ordered pairs.
+
+    Columns are shifted by their means (one aggregate, broadcast one row);
+    each partition then emits its partial Gram sums (d x d rows, numpy), and
+    one partial aggregate adds them up.  NULL/NaN cells drop out pair by pair;
+    a constant column gives NULL."""
+    d = len(cols)
+    mu = df.agg(*[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(f"_mu{i}")
+                  for i, c in enumerate(cols)])
+    centred = df.select(*cols).crossJoin(F.broadcast(mu)).select(
+        *[(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) - F.col(f"_mu{i}")).alias(f"x{i}")
+          for i, c in enumerate(cols)])
+    parts = centred.mapInPandas(_gram_partition(d), GRAM_SCHEMA)
+    g = parts.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "p")])
+    n = F.col("n").cast("double")
+    cov = F.col("p") / n - (F.col("sa") / n) * (F.col("sb") / n)
+    va = F.col("qa") / n - (F.col("sa") / n) * (F.col("sa") / n)
+    vb = F.col("qb") / n - (F.col("sb") / n) * (F.col("sb") / n)
+    r = F.when((n > 0) & (va > 0) & (vb > 0), cov / F.sqrt(va * vb))
+    names = F.array(*[F.lit(c) for c in cols])
+    return g.select(F.element_at(names, F.col("a") + 1).alias("feature_a"), F.col("a").alias("ord_a"),
+                    F.element_at(names, F.col("b") + 1).alias("feature_b"), F.col("b").alias("ord_b"),
+                    F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r)).alias("corr"))
+
+
+def corr_lower_triangle(matrix: DataFrame) -> DataFrame:
+    """Pairs strictly below the diagonal (the half drawn in the heat map)."""
+    return matrix.where(F.col("ord_a") > F.col("ord_b"))
+
+
+def _pair_corr(x: str, y: str) -> Column:
+    """Pairwise-complete Pearson correlation; NULL when a variance is 0."""
+    a = F.when(F.col(y).isNotNull(), F.col(x).cast("double"))
+    b = F.when(F.col(x).isNotNull(), F.col(y).cast("double"))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
+def corr_with_class(df: DataFrame, cols: list[str], label: str = LABEL) -> DataFrame:
+    """``(feature, ord, corr)``: correlation of each column with the label
+    (label itself excluded); n aggregates, no full matrix."""
+    feats = [c for c in cols if c != label]
+    one = df.agg(*[_pair_corr(c, label).alias(f"_r{i}") for i, c in enumerate(feats)])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(i).alias("ord"),
+                                                  F.col(f"_r{i}").alias("corr")) for i, c in enumerate(feats)])))
+
+
+def corr_top_bottom(cwc: DataFrame, k: int = 10) -> DataFrame:
+    """Head and tail (k each) of the correlations sorted descending."""
+    top = cwc.orderBy(F.desc_nulls_last("corr"), "ord").limit(k).withColumn("part", F.lit("top"))
+    bottom = cwc.orderBy(F.asc_nulls_first("corr"), F.desc("ord")).limit(k).withColumn("part", F.lit("bottom"))
+    return top.unionByName(bottom)
+
+
+def top_abs_corr(cwc: DataFrame, k: int) -> DataFrame:
+    """The ``k`` features with the largest |corr| (ties in column order)."""
+    return cwc.orderBy(F.desc_nulls_last(F.abs(F.col("corr"))), "ord").limit(k)
+
+
+def corr_by_class(df: DataFrame, features: list[str], label: str = LABEL) -> DataFrame:
+    """Correlation matrix of ``features`` inside each class:
+    ``(Class, feature_a, feature_b, corr)`` (grouped aggregate)."""
+    pairs = [(a, b) for a in features for b in features]
+    g = df.groupBy(label).agg(*[_pair_corr(a, b).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)])
+    return g.select(label, F.inline(F.array(*[
+        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"_r{i}").alias("corr"))
+        for i, (a, b) in enumerate(pairs)])))
+
+
+# ------------------------------------------------------------ distributions
+def _long(df: DataFrame, cols: list[str], keep: list[str] = (), only: DataFrame | None = None) -> DataFrame:
+    """(keep..., column, x) rows: one per cell, non-missing only.  ``only``
+    (a small frame with a ``column`` column) keeps just those columns, by a
+    broadcast semi-join, so column choices computed by Spark stay lazy."""
+    out = df.select(*keep, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("x"))
+        for c in cols]))).where(F.col("x").isNotNull())
+    if only is not None:
+        out = out.join(F.broadcast(only.select("column").distinct()), ["column"], "left_semi")
+    return out
+
+
+def long_features(df: DataFrame, cols: list[str], keep: list[str] = (), only: DataFrame | None = None) -> DataFrame:
+    """Long form ``(keep..., column, x)`` of selected feature columns."""
+    return _long(df, cols, list(keep), only).select(*keep, F.col("column").alias("feature"), F.col("x").alias("value"))
+
+
+def histogram(df: DataFrame, bins: dict[str, int], by: list[str] | None = None) -> DataFrame:
+    """Equal-width histograms (numpy rules: edges linspace(min, max, n+1),
+    bins closed left, last bin closed): ``(by..., column, bin, lo, hi, count)``
+    with empty bins filled with 0.  Edges span all rows (common to groups)."""
+    by = list(by or [])
+    cols = list(bins)
+    spark = df.sparkSession
+    nb = spark.createDataFrame([(c, int(n)) for c, n in bins.items()], "column string, nb int")
+    long = _long(df, cols, by)
+    rng = long.groupBy("column").agg(F.min("x").alias("_mn"), F.max("x").alias("_mx"))
+    params = rng.join(nb, ["column"]).select(
+        "column", "nb",
+        F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("lo"),
+        F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("hi"))
+    params = params.withColumn("step", (F.col("hi") - F.col("lo")) / F.col("nb"))
+
+    def edge(i: Column) -> Column:
+        return F.when(i >= F.col("nb"), F.col("hi")).otherwise(i * F.col("step") + F.col("lo"))
+
+    j = long.join(F.broadcast(params), ["column"])
+    guess = F.least(F.col("nb") - 1, F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.col("nb")))
+    j = j.withColumn("_g", guess.cast("int"))
+    j = j.withColumn("_g", F.when(F.col("x") < edge(F.col("_g")), F.col("_g") - 1).otherwise(F.col("_g")))
+    j = j.withColumn("bin", F.when((F.col("x") >= edge(F.col("_g") + 1)) & (F.col("_g") != F.col("nb") - 1),
+                                   F.col("_g") + 1).otherwise(F.col("_g")))
+    counts = j.groupBy(*by, "column", "bin").agg(F.count(F.lit(1)).alias("count"))
+    frame = params.withColumn("bin", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    if by:
+        frame = frame.crossJoin(long.select(*by).distinct())
+    frame = frame.select(*by, "column", "bin", edge(F.col("bin")).alias("lo_edge"),
+                         edge(F.col("bin") + 1).alias("hi_edge"))
+    return frame.join(counts, [*by, "column", "bin"], "left").fillna(0, subset=["count"])
+
+
+# Fixed values of the density view: Scott's rule, cut 3, 200 grid points;
+# data are pre-binned on KDE_BINS equal bins (bounded work per column).
+KDE_GRID = 200
+KDE_CUT = 3.0
+KDE_BINS = 4096
+
+
+def kde(df: DataFrame, cols: list[str], by: list[str] | None = None, gridsize: int = KDE_GRID,
+        cut: float = KDE_CUT, nbins: int = KDE_BINS, only: DataFrame | None = None) -> DataFrame:
+    """Gaussian density ``(by..., column, grid_idx, x, density)``.
+
+    Bandwidth = sample std x n^(-1/5) (Scott), grid = linspace(min - cut*bw,
+    max + cut*bw, gridsize).  Data are counted on ``nbins`` equal bins and each
+    bin contributes at its centre, so the work is grid x bins per column,
+    independent of the row count."""
+    by = list(by or [])
+    long = _long(df, cols, by, only)
+    keys = [*by, "column"]
+    st = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
+                                 F.min("x").alias("mn"), F.max("x").alias("mx"))
+    st = st.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
+    st = st.withColumn("w", (F.col("mx") - F.col("mn")) / nbins)
+    b = F.when(F.col("w") > 0, F.least(F.lit(nbins - 1), F.floor((F.col("x") - F.col("mn")) / F.col("w")))) \
+        .otherwise(F.lit(0)).cast("int")
+    binned = (long.join(F.broadcast(st.select(*keys, "mn", "w")), keys)
+              .groupBy(*keys, b.alias("kb")).agg(F.count(F.lit(1)).alias("k")))
+    lo = F.col("mn") - F.lit(cut) * F.col("bw")
+    hi = F.col("mx") + F.lit(cut) * F.col("bw")
+    grid = st.where(F.col("bw") > 0).select(
+        *keys, "n", "bw", "mn", "w", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("grid_idx"),
+        lo.alias("_lo"), hi.alias("_hi"))
+    grid = grid.withColumn("gx", F.when(F.col("grid_idx") == gridsize - 1, F.col("_hi")).otherwise(
+        F.col("grid_idx") * ((F.col("_hi") - F.col("_lo")) / (gridsize - 1)) + F.col("_lo")))
+    centre = F.col("mn") + (F.col("kb") + 0.5) * F.col("w")
+    z = (F.col("gx") - centre) / F.col("bw")
+    term = F.col("k") * F.exp(-0.5 * z * z)
+    dens = grid.join(binned, keys).groupBy(*keys, "grid_idx", "gx", "n", "bw").agg(F.sum(term).alias("_s"))
+    return dens.select(*keys, "grid_idx", F.col("gx").alias("x"),
+                       (F.col("_s") / (F.col("n") * F.col("bw") * F.lit(float(np.sqrt(2 * np.pi))))).alias("density"))
+
+
+def boxplot_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, method: str = "exact",
+                  only: DataFrame | None = None) -> DataFrame:
+    """``(by..., column, q1, median, q3, whisker_lo, whisker_hi, fliers)``:
+    whiskers are the extreme data within 1.5 IQR of the quartiles."""
+    by = list(by or [])
+    long = _long(df, cols, by, only)
+    keys = [*by, "column"]
+    from .quantiles import quantile_expr
+    q = long.groupBy(*keys).agg(quantile_expr("x", [0.25, 0.5, 0.75], method).alias("_q"))
+    q = q.select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    q = q.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
+         .withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
+    j = long.join(F.broadcast(q), keys)
+    w = j.groupBy(*keys).agg(F.min(F.when(F.col("x") >= F.col("_lo"), F.col("x"))).alias("whisker_lo"),
+                             F.max(F.when(F.col("x") <= F.col("_hi"), F.col("x"))).alias("whisker_hi"))
+    out = q.join(w, keys).withColumn("whisker_lo", F.coalesce("whisker_lo", "q1")) \
+           .withColumn("whisker_hi", F.coalesce("whisker_hi", "q3"))
+    fl = long.join(F.broadcast(out.select(*keys, "whisker_lo", "whisker_hi")), keys).groupBy(*keys).agg(
+        F.count_if((F.col("x") < F.col("whisker_lo")) | (F.col("x") > F.col("whisker_hi"))).alias("fliers"))
+    return out.join(fl, keys).select(*keys, "q1", "median", "q3", "whisker_lo", "whisker_hi", "fliers")
+
+
+def grouped_describe(df: DataFrame, col: str, by: list[str], method: str = "exact") -> DataFrame:
+    """count, mean, std (n-1), min, quartiles, max of ``col`` per group."""
+    from .quantiles import quantile_expr
+    g = df.groupBy(*by).agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
+                            F.min(col).cast("double").alias("min"),
+                            quantile_expr(col, [0.25, 0.5, 0.75], method).alias("_q"),
+                            F.max(col).cast("double").alias("max"))
+    return g.select(*by, "count", "mean", "std", "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
+                    F.col("_q")[2].alias("q75"), "max")
