@@ -87,7 +87,7 @@ def categorical_levels(df: DataFrame, col: str, max_levels: int = 1000) -> list[
 
 
 def one_hot_categoricals(df: DataFrame, levels: dict[str, list[str]] | None = None,
-                         max_levels: int = 1000) -> DataFrame:
+                         max_levels: int = 1000, exclude: tuple[str, ...] = ("split",)) -> DataFrame:
     """One-hot every string column (known levels used as given, e.g. the day
     periods; others fetched with a bound)."""
     levels = dict(levels or {})
@@ -95,7 +95,7 @@ def one_hot_categoricals(df: DataFrame, levels: dict[str, list[str]] | None = No
         levels.setdefault("Day_Period", DAY_PERIODS)
     out = df
     for f in df.schema.fields:
-        if f.dataType.simpleString() == "string":
+        if f.dataType.simpleString() == "string" and f.name not in exclude:
             lv = levels.get(f.name) or categorical_levels(df, f.name, max_levels)
             out = one_hot(out, f.name, lv)
     return out

@@ -83,7 +83,7 @@ def oracle(name: str):
 
 
 def load_all() -> dict[str, str]:
-    from . import o_metrics, o_prep, o_profile, o_sampling, o_stats  # noqa: F401
+    from . import o_metrics, o_prep, o_profile, o_resample, o_sampling, o_stats  # noqa: F401
     return ORACLES
 
 
