@@ -41,4 +41,4 @@ def scored(spark, d):
 
 
 # Modules below register their queries on import.
-from . import q_metrics, q_prep, q_profile, q_resample, q_sampling, q_stats  # noqa: E402,F401
+from . import q_metrics, q_models, q_prep, q_profile, q_resample, q_sampling, q_stats  # noqa: E402,F401
