@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import ID, INF, LABEL, is_numeric_type, nan_to_null, safe_div
-from .profile import OUTLIER_FACTOR, iqr_bounds
+from .profile import OUTLIER_FACTOR, _bounds_and_counts
 from .quantiles import quantiles
 
 # Fixed value: columns whose outlier share (percent) reaches this are left as they are.
@@ -107,12 +107,7 @@ def fit_caps(df: DataFrame, cols: list[str] | None = None, factor: float = OUTLI
              max_pct: float = CAP_MAX_PCT, method: str = "exact") -> DataFrame:
     """One row: bounds, outlier count and share, and whether to cap, per column."""
     cols = cols or _numeric(df, exclude=(ID, LABEL))
-    b = iqr_bounds(df, cols, factor, method)
-    cnt = (df.select(*cols).crossJoin(F.broadcast(b))
-           .agg(F.count(F.lit(1)).alias("_n"),
-                *[F.count_if((F.col(c) < F.col(f"{c}__lo")) | (F.col(c) > F.col(f"{c}__hi"))).alias(f"{c}__n")
-                  for c in cols]))
-    one = cnt.crossJoin(b)
+    one = _bounds_and_counts(df, cols, factor, method)
     extra = {}
     for c in cols:
         pct = safe_div(F.col(f"{c}__n"), F.col("_n")) * 100

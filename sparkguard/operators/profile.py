@@ -82,6 +82,17 @@ def _outside(c: str) -> Column:
     return (F.col(c) < F.col(f"{c}__lo")) | (F.col(c) > F.col(f"{c}__hi"))
 
 
+def _bounds_and_counts(df: DataFrame, cols: list[str], factor: float, method: str) -> DataFrame:
+    """One row: bounds and strict-outlier counts.  The bounds ride through the
+    counting aggregate (``first`` of broadcast constants), so the quantile
+    fit is computed once."""
+    b = iqr_bounds(df, cols, factor, method)
+    bcols = [x for c in cols for x in (f"{c}__q1", f"{c}__q3", f"{c}__lo", f"{c}__hi")]
+    return (df.select(*cols).crossJoin(F.broadcast(b))
+            .agg(F.count(F.lit(1)).alias("_n"), *[F.first(x).alias(x) for x in bcols],
+                 *[F.count_if(_outside(c)).alias(f"{c}__n") for c in cols]))
+
+
 def iqr_outlier_report(df: DataFrame, cols: list[str] | None = None,
                        factor: float = OUTLIER_FACTOR, method: str = "exact") -> DataFrame:
     """``(column, ord, q1, q3, lower_bound, upper_bound, outlier_count, outlier_pct)``.
@@ -89,11 +100,7 @@ def iqr_outlier_report(df: DataFrame, cols: list[str] | None = None,
     Pass 1 fits the bounds (one aggregate); pass 2 counts strict outliers with
     the one-row bounds broadcast to every task."""
     cols = cols or numeric_columns(df, exclude=(ID,))
-    b = iqr_bounds(df, cols, factor, method)
-    counts = (df.select(*cols).crossJoin(F.broadcast(b))
-              .agg(F.count(F.lit(1)).alias("_n"),
-                   *[F.count_if(_outside(c)).alias(f"{c}__n") for c in cols]))
-    one = counts.crossJoin(b)
+    one = _bounds_and_counts(df, cols, factor, method)
     return one.select(_rows([
         F.struct(F.lit(c).alias("column"), F.lit(i).alias("ord"),
                  F.col(f"{c}__q1").alias("q1"), F.col(f"{c}__q3").alias("q3"),

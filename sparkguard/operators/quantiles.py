@@ -1,40 +1,192 @@
-"""Per-column quantiles fused into one aggregate.
-
-``method='exact'`` uses ``percentile`` (linear interpolation, same as pandas
-``quantile``); its aggregation buffer is a value->count map per column, so its
-memory grows with the number of distinct values.  ``method='approx'`` uses
-``percentile_approx`` (bounded sketch, rank error 1/accuracy), for very large
-tables.  Both run as one distributed aggregate with partial (map-side) merge;
-the result is a single row with one ``array<double>`` column per input column.
+"""Per-column quantiles (linear interpolation, as pandas / Spark ``percentile``).
+
+Values are unpivoted to long form ``(column, x)`` so each column reduces in
+its own task and code stays small.  ``method``:
+
+* ``'exact'`` (default) -- distributed selection by histogram refinement.
+  Targets are the order statistics floor/ceil((n-1)p).  Each pass counts the
+  rows of every open interval on ``BUCKETS`` equal-width buckets
+  (``groupBy(column, interval, bucket)`` with map-side combine, so the shuffle
+  holds at most intervals x BUCKETS rows whatever the data size or skew), keeps
+  the bucket that contains each target rank, and narrows the interval to that
+  bucket's [min, max].  An interval holding a single value is resolved.  No
+  task ever holds all distinct values of a column; a value repeated on a
+  third of the rows is just one count.
+* ``'percentile'`` -- Spark's exact ``percentile`` per column (its buffer is a
+  value -> count map, so memory grows with the distinct values).
+* ``'approx'`` -- ``percentile_approx`` (bounded sketch, rank error 1/accuracy).
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BUCKETS = 4096
+MAX_PASSES = 24
+
 
-def quantile_expr(col: str, probs: list[float], method: str = "exact",
+def quantile_expr(col: str, probs: list[float], method: str = "percentile",
                   accuracy: int = 100_000) -> Column:
+    """Grouped-aggregate form (Spark built-ins), for per-group quantiles."""
     p = F.array(*[F.lit(float(x)) for x in probs])
     c = F.col(col).cast("double")
-    if method == "exact":
+    if method in ("exact", "percentile"):
         return F.percentile(c, p)
     if method == "approx":
         return F.percentile_approx(c, p, accuracy).cast("array<double>")
     raise ValueError(f"unknown quantile method {method!r}")
 
 
+def long_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``(_c, _x)``: column index and non-missing value (NaN counts as missing)."""
+    return df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_c"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("_x"))
+        for i, c in enumerate(cols)]))).where(F.col("_x").isNotNull())
+
+
+def _wide(long_q: DataFrame, cols: list[str], n_probs: int) -> DataFrame:
+    """(_c, _p, q) -> one row, column c = array of its quantiles (NULL if no data)."""
+    spark = long_q.sparkSession
+    grid = spark.range(len(cols)).select(F.col("id").cast("int").alias("_c")).crossJoin(
+        spark.range(n_probs).select(F.col("id").cast("int").alias("_p")))
+    full = grid.join(long_q, ["_c", "_p"], "left")
+    arr = full.groupBy("_c").agg(F.transform(F.array_sort(F.collect_list(F.struct("_p", "q"))),
+                                             lambda s: s["q"]).alias("qs"))
+    return arr.agg(*[F.first(F.when(F.col("_c") == i, F.col("qs")), ignorenulls=True).alias(c)
+                     for i, c in enumerate(cols)])
+
+
+FINISH_ROWS = 1_000_000  # a chosen bucket with at most this many rows is ranked directly
+
+
+def _order_stats(lv: DataFrame, targets: dict[int, list[int]], bounds: dict[int, tuple[float, float]],
+                 buckets: int = BUCKETS, max_passes: int = MAX_PASSES) -> dict[tuple[int, int], float]:
+    """Exact order statistics ``(column, rank) -> value`` (ranks 0-based).
+
+    The per-target state (a few rows per column) travels through the driver
+    between passes, like a model fit; rows never do."""
+    spark = lv.sparkSession
+    out: dict[tuple[int, int], float] = {}
+    open_ = []
+    for c, ks in targets.items():
+        lo, hi = bounds[c]
+        for k in ks:
+            if lo == hi:
+                out[(c, k)] = lo
+            else:
+                open_.append((c, k, lo, hi, k))
+    schema = "_c int, k long, lo double, hi double, kr long"
+    for _ in range(max_passes):
+        if not open_:
+            break
+        tg = spark.createDataFrame(open_, schema)
+        iv = tg.select("_c", "lo", "hi").distinct()
+        b = F.least(F.lit(buckets - 1),
+                    F.floor((F.col("_x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets)).cast("int")
+        cnt = (lv.join(F.broadcast(iv), ["_c"])
+               .where((F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi")))
+               .groupBy("_c", "lo", "hi", b.alias("_b"))
+               .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_bmin"), F.max("_x").alias("_bmax")))
+        w = Window.partitionBy("_c", "lo", "hi").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        cnt = cnt.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))  # <= buckets rows per interval
+        picked = (F.broadcast(tg).join(cnt, ["_c", "lo", "hi"])
+                  .where((F.col("kr") >= F.col("_before")) & (F.col("kr") < F.col("_before") + F.col("_n")))
+                  .select("_c", "k", "_bmin", "_bmax", "_n", (F.col("kr") - F.col("_before")).alias("kr"))
+                  .collect())  # one row per open target
+        open_, small = [], []
+        for r in picked:
+            if r["_bmin"] == r["_bmax"]:
+                out[(r["_c"], r["k"])] = r["_bmin"]
+            elif r["_n"] <= FINISH_ROWS:
+                small.append((r["_c"], r["k"], r["_bmin"], r["_bmax"], r["kr"]))
+            else:
+                open_.append((r["_c"], r["k"], r["_bmin"], r["_bmax"], r["kr"]))
+        if small:
+            fs = spark.createDataFrame(small, schema)
+            rows = lv.join(F.broadcast(fs), ["_c"]).where((F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi")))
+            rn = F.row_number().over(Window.partitionBy("_c", "k").orderBy("_x")) - 1  # bounded: <= FINISH_ROWS
+            for r in rows.withColumn("_rn", rn).where(F.col("_rn") == F.col("kr")).select("_c", "k", "_x").collect():
+                out[(r["_c"], r["k"])] = r["_x"]
+    if open_:
+        raise RuntimeError("quantile selection did not converge; use method='percentile'")
+    return out
+
+
+def _column_stats(df: DataFrame, cols: list[str]) -> dict[int, dict]:
+    """count / min / max of the non-missing values of each column: one wide
+    aggregate, one row back."""
+    def v(c):
+        return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    r = df.agg(*[e for i, c in enumerate(cols) for e in (
+        F.count(v(c)).alias(f"n{i}"), F.min(v(c)).alias(f"lo{i}"), F.max(v(c)).alias(f"hi{i}"))]).first()
+    return {i: {"n": r[f"n{i}"], "lo": r[f"lo{i}"], "hi": r[f"hi{i}"]} for i in range(len(cols))}
+
+
+def exact_quantile_values(df: DataFrame, cols: list[str], probs: list[float], buckets: int = BUCKETS,
+                          max_passes: int = MAX_PASSES) -> dict[tuple[int, int], float]:
+    """``(column index, prob index) -> quantile`` by distributed selection."""
+    lv = long_values(df, cols)
+    st = _column_stats(df, cols)
+    targets, pos = {}, {}
+    for c, r in st.items():
+        if r["n"] == 0:
+            continue
+        for pi, p in enumerate(probs):
+            x = float(r["n"] - 1) * float(p)
+            lo_k, hi_k = int(math.floor(x)), int(math.ceil(x))
+            pos[(c, pi)] = (x, lo_k, hi_k)
+            targets.setdefault(c, set()).update((lo_k, hi_k))
+    vals = _order_stats(lv, {c: sorted(k) for c, k in targets.items()},
+                        {c: (r["lo"], r["hi"]) for c, r in st.items() if r["n"] > 0}, buckets, max_passes)
+    out = {}
+    for (c, pi), (x, lo_k, hi_k) in pos.items():
+        v_lo, v_hi = vals[(c, lo_k)], vals[(c, hi_k)]
+        out[(c, pi)] = float(v_lo if (hi_k == lo_k or v_hi == v_lo) else (hi_k - x) * v_lo + (x - lo_k) * v_hi)
+    return out
+
+
+def quantiles_long(df: DataFrame, cols: list[str], probs: list[float], method: str = "exact",
+                   accuracy: int = 100_000, buckets: int = BUCKETS, max_passes: int = MAX_PASSES) -> DataFrame:
+    """``(_c, _p, q)`` for column index ``_c`` and probability index ``_p``."""
+    lv = long_values(df, cols)
+    spark = df.sparkSession
+    if method in ("percentile", "approx"):
+        q = lv.groupBy("_c").agg(quantile_expr("_x", probs, method, accuracy).alias("_q"))
+        return q.select("_c", F.posexplode("_q").alias("_p", "q"))
+    if method != "exact":
+        raise ValueError(f"unknown quantile method {method!r}")
+    st = _column_stats(df, cols)
+    targets, pos = {}, {}
+    for c, r in st.items():
+        if r["n"] == 0:
+            continue
+        for pi, p in enumerate(probs):
+            x = float(r["n"] - 1) * float(p)
+            lo_k, hi_k = int(math.floor(x)), int(math.ceil(x))
+            pos[(c, pi)] = (x, lo_k, hi_k)
+            targets.setdefault(c, set()).update((lo_k, hi_k))
+    vals = _order_stats(lv, {c: sorted(k) for c, k in targets.items()},
+                        {c: (r["lo"], r["hi"]) for c, r in st.items() if r["n"] > 0}, buckets, max_passes)
+    rows = []
+    for (c, pi), (x, lo_k, hi_k) in pos.items():
+        v_lo, v_hi = vals[(c, lo_k)], vals[(c, hi_k)]
+        q = v_lo if (hi_k == lo_k or v_hi == v_lo) else (hi_k - x) * v_lo + (x - lo_k) * v_hi
+        rows.append((c, pi, float(q)))
+    return spark.createDataFrame(rows, "_c int, _p int, q double")
+
+
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str = "exact",
               accuracy: int = 100_000, chunk: int = 0) -> DataFrame:
-    """One row; column ``c`` holds the quantiles of ``c`` at ``probs``.
-
-    ``chunk`` > 0 splits the columns into several aggregates joined as one-row
-    frames (limits the per-task buffer in exact mode)."""
+    """One row; column ``c`` holds the quantiles of ``c`` at ``probs``
+    (NULL when the column has no values)."""
     if not cols:
         raise ValueError("quantiles: no columns")
-    groups = [cols] if chunk <= 0 else [cols[i:i + chunk] for i in range(0, len(cols), chunk)]
-    out = None
-    for g in groups:
-        part = df.agg(*[quantile_expr(c, probs, method, accuracy).alias(c) for c in g])
-        out = part if out is None else out.crossJoin(part)
-    return out
+    if method == "exact":
+        vals = exact_quantile_values(df, cols, probs)
+        row = tuple(None if (i, 0) not in vals else [vals[(i, j)] for j in range(len(probs))]
+                    for i in range(len(cols)))
+        schema = ", ".join(f"`{c}` array<double>" for c in cols)
+        return df.sparkSession.createDataFrame([row], schema)
+    return _wide(quantiles_long(df, cols, probs, method, accuracy), cols, len(probs))

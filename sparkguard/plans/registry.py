@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.columns import round_doubles
+from ..session import materialize
 from ..sources import scored_fixture, transactions, transactions_dirty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,15 +30,16 @@ def query(name: str):
 
 
 def tx(spark, d):
-    return transactions(spark, d)
+    """The transactions table, written once per application (see README)."""
+    return materialize(spark, f"transactions:{d}", lambda: transactions(spark, d))
 
 
 def dirty(spark, d):
-    return transactions_dirty(spark, d)
+    return materialize(spark, f"transactions_dirty:{d}", lambda: transactions_dirty(spark, d))
 
 
 def scored(spark, d):
-    return scored_fixture(spark, d)
+    return materialize(spark, f"scored:{d}", lambda: scored_fixture(spark, d))
 
 
 # Modules below register their queries on import.

@@ -22,6 +22,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     builder = (builder
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -60,3 +61,25 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint directory for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
+def materialize(spark: SparkSession, name: str, build) -> "DataFrame":  # noqa: F821
+    """Write a derived table once per application to the shared folder and
+    return a scan of it (a written table cuts lineage; later scans prune
+    columns and push filters)."""
+    import uuid
+    key = (spark.sparkContext.applicationId, name)
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        path = shared_dir(spark, f"{name.replace('/', '_')}-{uuid.uuid4().hex[:12]}")
+        df = build()
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            # small inputs arrive as one file: spread them so every core works
+            df = df.repartition(want, df.columns[0])
+        df.write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
