@@ -238,3 +238,15 @@ def fit_pipeline(train: DataFrame, features: list[str], model: str, params: dict
     prepared = prepare(train, features, model, params)
     est = build_estimator(model, params, prepared.count() if model == "logistic_regression" else None)
     return Pipeline(stages=[est]).fit(prepared)
+
+
+def tune_all(train: DataFrame, test: DataFrame, features: list[str], models: list[str] | None = None,
+             n_iter: int = 10, folds: int = 3, subsample: float = 0.3, seed: int = SEED):
+    """Random search for every model; returns (best params per model, scored test rows)."""
+    best, scored = {}, None
+    for m in models or MODEL_NAMES:
+        refit, params, _ = random_search_cv(train, features, m, n_iter, folds, subsample, seed)
+        best[m] = params
+        s = score(refit, test, features, m)
+        scored = s if scored is None else scored.unionByName(s)
+    return best, scored
