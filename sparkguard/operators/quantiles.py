@@ -61,8 +61,8 @@ def _wide(long_q: DataFrame, cols: list[str], n_probs: int) -> DataFrame:
 FINISH_ROWS = 1_000_000  # a chosen bucket with at most this many rows is ranked directly
 
 
-def _order_stats(lv: DataFrame, targets: dict[int, list[int]], bounds: dict[int, tuple[float, float]],
-                 buckets: int = BUCKETS, max_passes: int = MAX_PASSES) -> dict[tuple[int, int], float]:
+def _order_stats(lv: DataFrame, targets: dict, bounds: dict, buckets: int = BUCKETS,
+                 max_passes: int = MAX_PASSES, key_type: str = "int") -> dict:
     """Exact order statistics ``(column, rank) -> value`` (ranks 0-based).
 
     The per-target state (a few rows per column) travels through the driver
@@ -77,7 +77,7 @@ def _order_stats(lv: DataFrame, targets: dict[int, list[int]], bounds: dict[int,
                 out[(c, k)] = lo
             else:
                 open_.append((c, k, lo, hi, k))
-    schema = "_c int, k long, lo double, hi double, kr long"
+    schema = f"_c {key_type}, k long, lo double, hi double, kr long"
     for _ in range(max_passes):
         if not open_:
             break
@@ -190,3 +190,54 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str =
         schema = ", ".join(f"`{c}` array<double>" for c in cols)
         return df.sparkSession.createDataFrame([row], schema)
     return _wide(quantiles_long(df, cols, probs, method, accuracy), cols, len(probs))
+
+
+def _interp_targets(stats: dict, probs: list[float]):
+    targets, pos = {}, {}
+    for c, r in stats.items():
+        if r["n"] == 0:
+            continue
+        for pi, p in enumerate(probs):
+            x = float(r["n"] - 1) * float(p)
+            lo_k, hi_k = int(math.floor(x)), int(math.ceil(x))
+            pos[(c, pi)] = (x, lo_k, hi_k)
+            targets.setdefault(c, set()).update((lo_k, hi_k))
+    return {c: sorted(k) for c, k in targets.items()}, pos
+
+
+def _interpolate(vals: dict, pos: dict) -> dict:
+    out = {}
+    for (c, pi), (x, lo_k, hi_k) in pos.items():
+        v_lo, v_hi = vals[(c, lo_k)], vals[(c, hi_k)]
+        out[(c, pi)] = float(v_lo if (hi_k == lo_k or v_hi == v_lo) else (hi_k - x) * v_lo + (x - lo_k) * v_hi)
+    return out
+
+
+def grouped_quantiles(df: DataFrame, by: list[str], cols: list[str], probs: list[float],
+                      method: str = "exact") -> DataFrame:
+    """``(by..., column, _q)`` with ``_q`` the quantiles of ``column`` inside
+    each group.  Exact mode runs the same bounded selection on (group, column)
+    keys; it is meant for low-cardinality groups (e.g. the class label), whose
+    keys travel through the driver as fit state."""
+    keep = [F.col(b) for b in by]
+    lv0 = df.select(*keep, F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_ci"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("_x"))
+        for i, c in enumerate(cols)]))).where(F.col("_x").isNotNull())
+    key = F.to_json(F.struct(*keep, F.col("_ci")))
+    if method != "exact":
+        q = lv0.groupBy(*by, "_ci").agg(quantile_expr("_x", probs, method).alias("_q"))
+        names = F.array(*[F.lit(c) for c in cols])
+        return q.select(*by, F.element_at(names, F.col("_ci") + 1).alias("column"), "_q")
+    lv = lv0.select(key.alias("_c"), "_x")
+    st_rows = lv0.withColumn("_c", key).groupBy("_c", *by, "_ci").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).collect()
+    stats = {r["_c"]: {"n": r["n"], "lo": r["lo"], "hi": r["hi"]} for r in st_rows}
+    targets, pos = _interp_targets(stats, probs)
+    vals = _order_stats(lv, targets, {c: (r["lo"], r["hi"]) for c, r in stats.items() if r["n"] > 0},
+                        key_type="string")
+    qv = _interpolate(vals, pos)
+    rows = [tuple(r[b] for b in by) + (cols[r["_ci"]], [qv[(r["_c"], j)] for j in range(len(probs))])
+            for r in st_rows if r["n"] > 0]
+    fields = ", ".join(f"`{b}` {df.schema[b].dataType.simpleString()}" for b in by)
+    schema = (fields + ", " if fields else "") + "column string, _q array<double>"
+    return df.sparkSession.createDataFrame(rows, schema)

@@ -225,20 +225,27 @@ def kde(df: DataFrame, cols: list[str], by: list[str] | None = None, gridsize: i
 def boxplot_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, method: str = "exact",
                   only: DataFrame | None = None) -> DataFrame:
     """``(by..., column, q1, median, q3, whisker_lo, whisker_hi, fliers)``:
-    whiskers are the extreme data within 1.5 IQR of the quartiles."""
+    whiskers are the extreme data within 1.5 IQR of the quartiles.  Quartiles
+    per (group, column) come from the bounded exact selection."""
+    from .quantiles import grouped_quantiles
     by = list(by or [])
     long = _long(df, cols, by, only)
     keys = [*by, "column"]
-    from .quantiles import quantile_expr
-    q = long.groupBy(*keys).agg(quantile_expr("x", [0.25, 0.5, 0.75], method).alias("_q"))
+    if only is not None:
+        # restrict to the chosen columns before the quartile fit (the choice is a tiny frame)
+        chosen = [r["column"] for r in only.select("column").distinct().collect()]
+        cols = [c for c in cols if c in chosen]
+    q = grouped_quantiles(df, by, cols, [0.25, 0.5, 0.75], method)
     q = q.select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     q = q.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     j = long.join(F.broadcast(q), keys)
-    w = j.groupBy(*keys).agg(F.min(F.when(F.col("x") >= F.col("_lo"), F.col("x"))).alias("whisker_lo"),
-                             F.max(F.when(F.col("x") <= F.col("_hi"), F.col("x"))).alias("whisker_hi"))
-    out = q.join(w, keys).withColumn("whisker_lo", F.coalesce("whisker_lo", "q1")) \
-           .withColumn("whisker_hi", F.coalesce("whisker_hi", "q3"))
+    agg = j.groupBy(*keys).agg(
+        F.min(F.when(F.col("x") >= F.col("_lo"), F.col("x"))).alias("_wl"),
+        F.max(F.when(F.col("x") <= F.col("_hi"), F.col("x"))).alias("_wh"),
+        F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"))
+    out = agg.select(*keys, "q1", "median", "q3", F.coalesce("_wl", "q1").alias("whisker_lo"),
+                     F.coalesce("_wh", "q3").alias("whisker_hi"))
     fl = long.join(F.broadcast(out.select(*keys, "whisker_lo", "whisker_hi")), keys).groupBy(*keys).agg(
         F.count_if((F.col("x") < F.col("whisker_lo")) | (F.col("x") > F.col("whisker_hi"))).alias("fliers"))
     return out.join(fl, keys).select(*keys, "q1", "median", "q3", "whisker_lo", "whisker_hi", "fliers")
@@ -246,10 +253,10 @@ def boxplot_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, m
 
 def grouped_describe(df: DataFrame, col: str, by: list[str], method: str = "exact") -> DataFrame:
     """count, mean, std (n-1), min, quartiles, max of ``col`` per group."""
-    from .quantiles import quantile_expr
+    from .quantiles import grouped_quantiles
     g = df.groupBy(*by).agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
-                            F.min(col).cast("double").alias("min"),
-                            quantile_expr(col, [0.25, 0.5, 0.75], method).alias("_q"),
-                            F.max(col).cast("double").alias("max"))
-    return g.select(*by, "count", "mean", "std", "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
-                    F.col("_q")[2].alias("q75"), "max")
+                            F.min(col).cast("double").alias("min"), F.max(col).cast("double").alias("max"))
+    q = grouped_quantiles(df, by, [col], [0.25, 0.5, 0.75], method).drop("column")
+    return g.join(F.broadcast(q), by, "left").select(
+        *by, "count", "mean", "std", "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
+        F.col("_q")[2].alias("q75"), "max")
