@@ -75,21 +75,27 @@ def replace_infinite(df: DataFrame, cols: list[str] | None = None, method: str =
 
 
 def handle_missing(df: DataFrame, method: str = "exact") -> DataFrame:
-    """Median for numeric missing, mode for the rest, then infinity repair.
-
-    Fully lazy: every numeric column gets a median and every double column an
-    infinity repair; on columns without missing values / infinities the fill
-    never fires, so the result equals repairing only the affected columns."""
+    """Median for numeric missing, mode for the rest, then infinity repair --
+    only on the columns that have missing values / infinities.  A one-row
+    probe (one aggregate, bounded by the column count) picks them."""
     df = nan_to_null(df)
     num = _numeric(df, exclude=(ID,))
     other = [f.name for f in df.schema.fields
              if not is_numeric_type(f.dataType) and f.dataType.simpleString() != "boolean"]
     dbl = [c for c in num if df.schema[c].dataType.simpleString() in ("double", "float")]
-    out = impute_median(df, num, method) if num else df
-    if other:
-        out = impute_mode(out, other)
-    if dbl:
-        out = replace_infinite(out, dbl, method)
+    probe = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(num + other)],
+                   *[F.count_if(F.abs(F.col(c)) == F.lit(INF)).alias(f"i{i}") for i, c in enumerate(dbl)]).first()
+    cols = num + other
+    num_null = [c for i, c in enumerate(cols) if c in num and probe[f"n{i}"] > 0]
+    oth_null = [c for i, c in enumerate(cols) if c in other and probe[f"n{i}"] > 0]
+    inf_cols = [c for i, c in enumerate(dbl) if probe[f"i{i}"] > 0]
+    out = df
+    if num_null:
+        out = impute_median(out, num_null, method)
+    if oth_null:
+        out = impute_mode(out, oth_null)
+    if inf_cols:
+        out = replace_infinite(out, inf_cols, method)
     return out
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ID, LABEL
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 
 K_NEIGHBORS = 5
 SEED = 42
@@ -59,8 +59,8 @@ def knn_minority(points: DataFrame, k: int = K_NEIGHBORS, seed: int = SEED,
     spark = points.sparkSession
     ensure_checkpoint_dir(spark)
     d = len(points.select("v").first()["v"])
-    pts = _ranked_points(points, d, seed).checkpoint()
-    m = pts.count()
+    pts = cut_lineage(_ranked_points(points, d, seed), "knn-points")
+    m = pts.count()  # parquet metadata
     if m <= k:
         raise ValueError(f"SMOTE needs more than k={k} minority rows, got {m}")
     todo = pts.select(ID, "v", "proj", "r")
@@ -86,11 +86,13 @@ def knn_minority(points: DataFrame, k: int = K_NEIGHBORS, seed: int = SEED,
         gap_hi = F.col("_hi_p") - F.col("proj")
         ok = ((F.col("_lo_p").isNull() | (gap_lo * gap_lo > F.col("_dk")))
               & (F.col("_hi_p").isNull() | (gap_hi * gap_hi > F.col("_dk"))))
-        status = chk.select(ID, ok.alias("_ok")).checkpoint()
-        good = top.join(status.where("_ok"), [ID], "left_semi").select(ID, "k_idx", "nb_id", "dist2").checkpoint()
+        # one pass writes candidates with their certification flag
+        res = cut_lineage(top.join(chk.select(ID, ok.alias("_ok")), [ID]), "knn-pass")
+        good = res.where("_ok").select(ID, "k_idx", "nb_id", "dist2")
         done = good if done is None else done.unionByName(good)
-        todo = todo.join(status.where(~F.col("_ok")), [ID], "left_semi").checkpoint()
-        if todo.isEmpty() or w >= m:
+        todo = pts.join(res.where(~F.col("_ok")).select(ID).distinct(), [ID], "left_semi") \
+            .select(ID, "v", "proj", "r")
+        if w >= m or res.where(~F.col("_ok")).isEmpty():
             break
         w *= 2
     return done

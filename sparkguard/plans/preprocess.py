@@ -19,7 +19,7 @@ from ..operators import features as FE
 from ..operators import resample as RS
 from ..operators import sampling as SM
 from ..operators import scale as SC
-from ..session import ensure_checkpoint_dir, shared_dir
+from ..session import cut_lineage, ensure_checkpoint_dir, shared_dir
 
 
 def model_features(df: DataFrame, exclude=(ID, LABEL, "split", "synthetic")) -> list[str]:
@@ -41,7 +41,7 @@ def preprocess(df: DataFrame, test_size: float = 0.2, seed: int = 42, scaler: st
     """Returns (processed table with ``split``, feature names, scaler params)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    eng = clean_and_engineer(df, dedup)
+    eng = cut_lineage(clean_and_engineer(df, dedup), "engineered")  # several fits read it
     if fit_on == "all":
         capped = C.cap_outliers(eng)
         split = SM.stratified_split(capped, test_size, seed)
@@ -50,7 +50,7 @@ def preprocess(df: DataFrame, test_size: float = 0.2, seed: int = 42, scaler: st
         num = [c for c in C._numeric(eng, exclude=(ID, LABEL))]
         params = C.fit_caps(split0.where(F.col("split") == "train"), num)
         split = C.cap_outliers(split0, num, params=params)
-    split = split.checkpoint()
+    split = cut_lineage(split, "split")
     train = FE.one_hot_categoricals(split.where(F.col("split") == "train"))
     test = split.where(F.col("split") == "test")
     feats = model_features(train)
@@ -70,7 +70,7 @@ def preprocess(df: DataFrame, test_size: float = 0.2, seed: int = 42, scaler: st
         params = SC.fit_scaler(train, feats, scaler)
         train = SC.apply_scaler(train, params, feats)
         test = SC.apply_scaler(test, params, feats)
-    out = train.unionByName(test).checkpoint()
+    out = cut_lineage(train.unionByName(test), "processed")
     return out, feats, params
 
 

@@ -83,3 +83,15 @@ def materialize(spark: SparkSession, name: str, build) -> "DataFrame":  # noqa:
         df.write.mode("overwrite").parquet(path)
         _MATERIALIZED[key] = path
     return spark.read.parquet(path)
+
+
+def cut_lineage(df: "DataFrame", name: str = "stage") -> "DataFrame":  # noqa: F821
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return a scan of it.  Unlike an eager ``checkpoint()`` (which computes its
+    input twice unless cached), the table is computed once; a lost executor
+    re-reads files instead of recomputing the lineage."""
+    import uuid
+    spark = df.sparkSession
+    path = shared_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
