@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from ..functions.columns import FEATURE_COLS
 from .o_sampling import SPLIT_CTES
-from .o_stats import hist_ctes  # noqa: F401
+from .o_stats import hist_ctes
 from .oracle_sql import oracle, rounded, with_fixtures
 
 TR = "tr AS (SELECT * FROM sp WHERE split = 'train')"
@@ -69,3 +69,15 @@ def _():
     body = ("SELECT 'train' AS split, 2 * max(quota) AS rows, 42 AS features FROM q UNION ALL "
             "SELECT 'test' AS split, sum(n_c - quota) AS rows, 42 AS features FROM q")
     return with_fixtures("SELECT split, CAST(rows AS BIGINT) AS rows, features FROM (" + body + ")", *SPLIT_CTES)
+
+
+@oracle("scaling_before_after")
+def _():
+    bins = {"Amount": 50, "V1": 50, "V2": 50, "V3": 50}
+    cb, bb = hist_ctes(bins, False, "tr", "b_")
+    ca, ba = hist_ctes(bins, False, "sc", "a_")
+    scaled = ("sc AS (SELECT id, Class, " + ", ".join(f"({c} - {c}_c) / {c}_s AS {c}" for c in FEATURE_COLS)
+              + " FROM tr, pm)")
+    body = f"SELECT *, 'before' AS stage FROM ({bb}) UNION ALL SELECT *, 'after' AS stage FROM ({ba})"
+    cols = ["column", "bin", "lo_edge", "hi_edge", "count", "stage"]
+    return with_fixtures(rounded(body, cols, ["lo_edge", "hi_edge"]), *SPLIT_CTES, TR, std_params(), scaled, *cb, *ca)

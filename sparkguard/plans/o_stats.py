@@ -72,41 +72,43 @@ def _():
     return with_fixtures(rounded(body, ["Class", "feature_a", "feature_b", "corr"], ["corr"]), EDA)
 
 
-def hist_ctes(bins: dict[str, int], by: bool) -> tuple[list[str], str]:
+def hist_ctes(bins: dict[str, int], by: bool, src: str = "eda", pre: str = "") -> tuple[list[str], str]:
     nb = ", ".join(f"('{c}', {n})" for c, n in bins.items())
     edge = "(CASE WHEN {i} >= nb THEN hi ELSE {i} * step + lo END)"
     grp = "_cls, " if by else ""
-    ctes = [EDA, long_cte("lh", list(bins)), f"nb(\"column\", nb) AS (VALUES {nb})",
-            "rng AS (SELECT \"column\", min(x) AS _mn, max(x) AS _mx FROM lh GROUP BY 1)",
-            "pr AS (SELECT r.\"column\", nb, CASE WHEN _mn = _mx THEN _mn - 0.5 ELSE _mn END AS lo, "
-            "CASE WHEN _mn = _mx THEN _mx + 0.5 ELSE _mx END AS hi FROM rng r JOIN nb USING (\"column\"))",
-            "pr2 AS (SELECT *, (hi - lo) / nb AS step FROM pr)",
-            "j AS (SELECT l._cls, l.\"column\", l.x, p.nb, p.lo, p.hi, p.step, "
-            "CAST(least(nb - 1, floor((x - lo) / (hi - lo) * nb)) AS INTEGER) AS g0 FROM lh l JOIN pr2 p USING (\"column\"))",
-            f"j1 AS (SELECT *, CASE WHEN x < {edge.format(i='g0')} THEN g0 - 1 ELSE g0 END AS g1 FROM j)",
-            f"j2 AS (SELECT *, CASE WHEN x >= {edge.format(i='(g1 + 1)')} AND g1 <> nb - 1 THEN g1 + 1 ELSE g1 END "
-            "AS bin FROM j1)",
-            f"cnt AS (SELECT {grp}\"column\", bin, count(*) AS count FROM j2 GROUP BY ALL)",
-            "fr0 AS (SELECT *, unnest(generate_series(0, nb - 1)) AS bin FROM pr2)",
-            f"fr AS (SELECT {'c._cls, ' if by else ''}\"column\", bin, {edge.format(i='bin')} AS lo_edge, "
-            f"{edge.format(i='(bin + 1)')} AS hi_edge FROM fr0{', (SELECT DISTINCT _cls FROM lh) c' if by else ''})"]
+    P = pre
+    ctes = [long_cte(f"{P}lh", list(bins), src), f"{P}nb(\"column\", nb) AS (VALUES {nb})",
+            f"{P}rng AS (SELECT \"column\", min(x) AS _mn, max(x) AS _mx FROM {P}lh GROUP BY 1)",
+            f"{P}pr AS (SELECT r.\"column\", nb, CASE WHEN _mn = _mx THEN _mn - 0.5 ELSE _mn END AS lo, "
+            f"CASE WHEN _mn = _mx THEN _mx + 0.5 ELSE _mx END AS hi FROM {P}rng r JOIN {P}nb USING (\"column\"))",
+            f"{P}pr2 AS (SELECT *, (hi - lo) / nb AS step FROM {P}pr)",
+            f"{P}j AS (SELECT l._cls, l.\"column\", l.x, p.nb, p.lo, p.hi, p.step, "
+            f"CAST(least(nb - 1, floor((x - lo) / (hi - lo) * nb)) AS INTEGER) AS g0 FROM {P}lh l JOIN {P}pr2 p USING (\"column\"))",
+            f"{P}j1 AS (SELECT *, CASE WHEN x < {edge.format(i='g0')} THEN g0 - 1 ELSE g0 END AS g1 FROM {P}j)",
+            f"{P}j2 AS (SELECT *, CASE WHEN x >= {edge.format(i='(g1 + 1)')} AND g1 <> nb - 1 THEN g1 + 1 ELSE g1 END "
+            f"AS bin FROM {P}j1)",
+            f"{P}cnt AS (SELECT {grp}\"column\", bin, count(*) AS count FROM {P}j2 GROUP BY ALL)",
+            f"{P}fr0 AS (SELECT *, unnest(generate_series(0, nb - 1)) AS bin FROM {P}pr2)",
+            f"{P}fr AS (SELECT {'c._cls, ' if by else ''}\"column\", bin, {edge.format(i='bin')} AS lo_edge, "
+            f"{edge.format(i='(bin + 1)')} AS hi_edge FROM {P}fr0{f', (SELECT DISTINCT _cls FROM {P}lh) c' if by else ''})"]
     on = "USING (_cls, \"column\", bin)" if by else "USING (\"column\", bin)"
     body = (f"SELECT {'fr._cls AS Class, ' if by else ''}fr.\"column\", fr.bin, lo_edge, hi_edge, "
-            f"coalesce(count, 0) AS count FROM fr LEFT JOIN cnt {on}")
+            f"coalesce(count, 0) AS count FROM {P}fr fr LEFT JOIN {P}cnt {on}")
     return ctes, body
 
 
 @oracle("histogram")
 def _():
     ctes, body = hist_ctes(HIST_BINS, False)
-    return with_fixtures(rounded(body, ["column", "bin", "lo_edge", "hi_edge", "count"], ["lo_edge", "hi_edge"]), *ctes)
+    return with_fixtures(rounded(body, ["column", "bin", "lo_edge", "hi_edge", "count"], ["lo_edge", "hi_edge"]),
+                         EDA, *ctes)
 
 
 @oracle("histogram_by_class")
 def _():
     ctes, body = hist_ctes({"Amount": 50}, True)
     return with_fixtures(rounded(body, ["Class", "column", "bin", "lo_edge", "hi_edge", "count"],
-                                 ["lo_edge", "hi_edge"]), *ctes)
+                                 ["lo_edge", "hi_edge"]), EDA, *ctes)
 
 
 def kde_ctes(cols, by: bool, only: str | None):

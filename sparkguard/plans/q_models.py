@@ -29,6 +29,24 @@ def split(spark, d):
     return out.where(F.col("split") == "train"), out.where(F.col("split") == "test"), feats
 
 
+def _memo(spark, d, name, build):
+    k = (id(spark), d, name)
+    if k not in _CACHE:
+        _CACHE[k] = build()
+    return _CACHE[k]
+
+
+def tuned_lr(spark, d):
+    """Random search for logistic regression, run once per session and data set."""
+    tr, te, feats = split(spark, d)
+    return _memo(spark, d, "tuned_lr", lambda: ML.random_search_cv(tr, feats, "logistic_regression", n_iter=10))
+
+
+def fitted_rf(spark, d):
+    tr, te, feats = split(spark, d)
+    return _memo(spark, d, "rf", lambda: ML.fit_model(tr, feats, "random_forest"))
+
+
 def _fit_score(spark, d, model):
     tr, te, feats = split(spark, d)
     fitted = ML.fit_model(tr, feats, model)
@@ -77,7 +95,7 @@ def train_all_base_q(spark, d):
 @query("random_search_cv")
 def random_search_cv_q(spark, d):
     tr, te, feats = split(spark, d)
-    refit, best, cv_f1 = ML.random_search_cv(tr, feats, "logistic_regression", n_iter=10)
+    refit, best, cv_f1 = tuned_lr(spark, d)
     return M.model_comparison(ML.score(refit, te, feats, "logistic_regression")) \
         .withColumn("cv_f1", F.lit(cv_f1))
 
@@ -86,7 +104,7 @@ def random_search_cv_q(spark, d):
 def base_vs_tuned_q(spark, d):
     tr, te, feats = split(spark, d)
     base = ML.score(ML.fit_model(tr, feats, "logistic_regression"), te, feats, "logistic_regression")
-    refit, best, _ = ML.random_search_cv(tr, feats, "logistic_regression", n_iter=10)
+    refit, best, _ = tuned_lr(spark, d)
     tuned = ML.score(refit, te, feats, "logistic_regression")
     return M.model_comparison(base).withColumn("stage", F.lit("base")).unionByName(
         M.model_comparison(tuned).withColumn("stage", F.lit("tuned")))
@@ -95,14 +113,14 @@ def base_vs_tuned_q(spark, d):
 @query("best_params_table")
 def best_params_table_q(spark, d):
     tr, te, feats = split(spark, d)
-    _, best, _ = ML.random_search_cv(tr, feats, "logistic_regression", n_iter=10)
+    _, best, _ = tuned_lr(spark, d)
     return ML.best_params_table(ML.best_params_frame(spark, {"logistic_regression": best}))
 
 
 @query("tree_importance")
 def tree_importance_q(spark, d):
     tr, te, feats = split(spark, d)
-    return ML.feature_importance(ML.fit_model(tr, feats, "random_forest"), feats)
+    return ML.feature_importance(fitted_rf(spark, d), feats)
 
 
 @query("importance_top_n")
@@ -113,14 +131,12 @@ def importance_top_n_q(spark, d):
 @query("permutation_importance")
 def permutation_importance_q(spark, d):
     tr, te, feats = split(spark, d)
-    fitted = ML.fit_model(tr, feats, "random_forest")
-    return X.permutation_importance(fitted, te, feats)
+    return X.permutation_importance(fitted_rf(spark, d), te, feats)
 
 
 def _shap(spark, d):
     tr, te, feats = split(spark, d)
-    fitted = ML.fit_model(tr, feats, "random_forest")
-    return X.shapley_values(fitted, te, feats, n_rows=50, n_perm=4)
+    return _memo(spark, d, "shap", lambda: X.shapley_values(fitted_rf(spark, d), te, feats, n_rows=50, n_perm=4))
 
 
 @query("shapley_values")
