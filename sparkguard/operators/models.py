@@ -179,7 +179,7 @@ def _param_maps(est, model: str, points: list[dict], n_rows: int):
 
 
 def random_search_cv(train: DataFrame, features: list[str], model: str, n_iter: int = 10, folds: int = 3,
-                     subsample: float = 0.3, seed: int = SEED, parallelism: int = 2):
+                     subsample: float = 0.3, seed: int = SEED, parallelism: int = 4):
     """Stratified k-fold random search on F1 of class 1, then refit on all
     training rows.  Returns (refit model, best params, best CV F1)."""
     points = random_search_sample(model, n_iter, seed)

@@ -161,3 +161,27 @@ def _():
 @oracle("count_by_day_period")
 def _():
     return with_fixtures("SELECT Day_Period, count(*) AS count FROM eng GROUP BY 1", eng_cte())
+
+
+NEW_FEATS = [c for c in ENG_COLS if c not in TX_COLS]
+
+
+@oracle("new_feature_list")
+def _():
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS feature, {i} AS ord, count(\"{c}\") AS non_null FROM eng"
+                              for i, c in enumerate(NEW_FEATS))
+    return with_fixtures(rows, eng_cte())
+
+
+@oracle("align_columns")
+def _():
+    from .o_sampling import SPLIT_CTES
+    cols = [c for c in ENG_COLS if c != "Day_Period"] + ["split"]
+    body = "SELECT eng.*, sp.split FROM eng JOIN sp USING (id) WHERE sp.split = 'test'"
+    return with_fixtures(rounded(body, cols, [*FEATURE_COLS, *ENG_DOUBLES]), *SPLIT_CTES, eng_cte())
+
+
+@oracle("drop_target")
+def _():
+    cols = [c for c in ENG_COLS if c != "Class"]
+    return with_fixtures(rounded("SELECT * FROM eng", cols, [*FEATURE_COLS, *ENG_DOUBLES]), eng_cte())

@@ -141,3 +141,10 @@ def apply_threshold_q(spark, d):
 @query("error_cases")
 def error_cases_q(spark, d):
     return M.error_cases(scored(spark, d))
+
+
+@query("evaluate_pipeline")
+def evaluate_pipeline_q(spark, d):
+    """Composition over the scored table: per-model summary of the evaluation flow."""
+    from .evaluate import evaluation_summary
+    return evaluation_summary(scored(spark, d))

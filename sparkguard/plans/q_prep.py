@@ -109,3 +109,29 @@ def fraud_ratio_by_hour_q(spark, d):
 @query("count_by_day_period")
 def count_by_day_period_q(spark, d):
     return eng(spark, d).groupBy("Day_Period").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query("new_feature_list")
+def new_feature_list_q(spark, d):
+    """New engineered columns with their non-null counts."""
+    t = tx(spark, d)
+    e = FE.transform_features(t)
+    new = FE.new_feature_list(t, e)
+    one = e.agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(new)])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(i).alias("ord"),
+                                                  F.col(f"_n{i}").alias("non_null")) for i, c in enumerate(new)])))
+
+
+@query("align_columns")
+def align_columns_q(spark, d):
+    """Test rows restricted to the columns shared with the one-hot encoded train rows."""
+    from ..operators import sampling as SM
+    sp = SM.stratified_split(eng(spark, d))
+    train = FE.one_hot_categoricals(sp.where(F.col("split") == "train"))
+    _, test = FE.align_columns(train, sp.where(F.col("split") == "test"))
+    return test
+
+
+@query("drop_target")
+def drop_target_q(spark, d):
+    return FE.drop_target(eng(spark, d))
