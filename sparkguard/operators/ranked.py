@@ -23,9 +23,11 @@ def md5_key(id_col: str, seed: int, salt: str = "") -> Column:
 
 def ranked(df: DataFrame, key: Column, tiebreak: str, partition_cols: list[str] | None = None,
            bucket: Column | None = None, bucket_hex: int = DEFAULT_BUCKET_HEX,
-           rank_col: str = "_rank", size_col: str = "_stratum_n") -> DataFrame:
+           rank_col: str = "_rank", size_col: str = "_stratum_n", return_counts: bool = False):
     """Add the 1-based rank of each row inside its stratum, ordered by
-    ``(key, tiebreak)``, and the stratum size."""
+    ``(key, tiebreak)``, and the stratum size.  With ``return_counts`` also
+    return the per-(stratum, bucket) count table ``(*strata, _b, _bn)``, so
+    callers derive stratum totals from it instead of scanning again."""
     parts = list(partition_cols or [])
     keyed = df.withColumn("_key", key)
     keyed = keyed.withColumn("_b", bucket if bucket is not None else F.substring(F.col("_key"), 1, bucket_hex))
@@ -37,7 +39,8 @@ def ranked(df: DataFrame, key: Column, tiebreak: str, partition_cols: list[str]
         F.sum("_bn").over(Window.partitionBy(*parts)).alias(size_col))
     within = F.row_number().over(Window.partitionBy(*parts, "_b").orderBy("_key", tiebreak))
     out = keyed.withColumn("_rn", within).join(F.broadcast(offs), [*parts, "_b"])
-    return out.withColumn(rank_col, F.col("_off") + F.col("_rn")).drop("_key", "_b", "_rn", "_off")
+    out = out.withColumn(rank_col, F.col("_off") + F.col("_rn")).drop("_key", "_b", "_rn", "_off")
+    return (out, counts) if return_counts else out
 
 
 def approximate_mode(class_counts: DataFrame, label: str, count_col: str, draw: Column) -> DataFrame:

@@ -24,19 +24,22 @@ def _class_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
 
 
-def split_quotas(df: DataFrame, test_size: float = TEST_SIZE, label: str = LABEL) -> DataFrame:
+def split_quotas(df: DataFrame, test_size: float = TEST_SIZE, label: str = LABEL,
+                 class_counts: DataFrame | None = None) -> DataFrame:
     """Per class: ``n_c``, ``train_c``, ``test_c`` (n_test = ceil(test_size * n),
     train allocated by largest remainder, test = the rest)."""
     draw = F.col("_total") - F.ceil(F.lit(float(test_size)) * F.col("_total"))
-    q = approximate_mode(_class_counts(df, label), label, "n_c", draw)
+    cc = class_counts if class_counts is not None else _class_counts(df, label)
+    q = approximate_mode(cc, label, "n_c", draw)
     return q.select(label, "n_c", F.col("quota").alias("train_c"), (F.col("n_c") - F.col("quota")).alias("test_c"))
 
 
 def stratified_split(df: DataFrame, test_size: float = TEST_SIZE, seed: int = SEED,
                      label: str = LABEL, key: str = ID, split_col: str = "split") -> DataFrame:
     """Add ``split`` in {'train', 'test'}: exact sizes, class shares kept."""
-    quotas = split_quotas(df, test_size, label).select(label, "train_c")
-    r = ranked(df, md5_key(key, seed), key, [label])
+    r, counts = ranked(df, md5_key(key, seed), key, [label], return_counts=True)
+    cc = counts.groupBy(label).agg(F.sum("_bn").alias("n_c"))  # class totals from bucket totals
+    quotas = split_quotas(df, test_size, label, cc).select(label, "train_c")
     out = r.join(F.broadcast(quotas), [label])
     return out.select(*df.columns, F.when(F.col("_rank") <= F.col("train_c"), F.lit("train"))
                       .otherwise(F.lit("test")).alias(split_col))
@@ -69,8 +72,9 @@ def stratified_fraction(df: DataFrame, fraction: float, seed: int = SEED, label:
                         key: str = ID, salt: str = "frac") -> DataFrame:
     """Keep floor(fraction * n) rows, allocated to classes by largest remainder."""
     draw = F.floor(F.lit(float(fraction)) * F.col("_total"))
-    q = approximate_mode(_class_counts(df, label), label, "n_c", draw).select(label, "quota")
-    r = ranked(df, md5_key(key, seed, salt), key, [label])
+    r, counts = ranked(df, md5_key(key, seed, salt), key, [label], return_counts=True)
+    cc = counts.groupBy(label).agg(F.sum("_bn").alias("n_c"))
+    q = approximate_mode(cc, label, "n_c", draw).select(label, "quota")
     return r.join(F.broadcast(q), [label]).where(F.col("_rank") <= F.col("quota")).select(*df.columns)
 
 

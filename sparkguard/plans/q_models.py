@@ -42,14 +42,16 @@ def tuned_lr(spark, d):
     return _memo(spark, d, "tuned_lr", lambda: ML.random_search_cv(tr, feats, "logistic_regression", n_iter=10))
 
 
-def fitted_rf(spark, d):
+def fitted_tree(spark, d):
+    """The gradient-boosted tree model (fitted once per session) used by the
+    importance and attribution queries."""
     tr, te, feats = split(spark, d)
-    return _memo(spark, d, "rf", lambda: ML.fit_model(tr, feats, "random_forest"))
+    return _memo(spark, d, "gbt", lambda: ML.fit_model(tr, feats, "gradient_boosting"))
 
 
 def _fit_score(spark, d, model):
     tr, te, feats = split(spark, d)
-    fitted = ML.fit_model(tr, feats, model)
+    fitted = fitted_tree(spark, d) if model == "gradient_boosting" else ML.fit_model(tr, feats, model)
     return ML.score(fitted, te, feats, model)
 
 
@@ -120,7 +122,7 @@ def best_params_table_q(spark, d):
 @query("tree_importance")
 def tree_importance_q(spark, d):
     tr, te, feats = split(spark, d)
-    return ML.feature_importance(fitted_rf(spark, d), feats)
+    return ML.feature_importance(fitted_tree(spark, d), feats)
 
 
 @query("importance_top_n")
@@ -131,12 +133,12 @@ def importance_top_n_q(spark, d):
 @query("permutation_importance")
 def permutation_importance_q(spark, d):
     tr, te, feats = split(spark, d)
-    return X.permutation_importance(fitted_rf(spark, d), te, feats)
+    return X.permutation_importance(fitted_tree(spark, d), te, feats)
 
 
 def _shap(spark, d):
     tr, te, feats = split(spark, d)
-    return _memo(spark, d, "shap", lambda: X.shapley_values(fitted_rf(spark, d), te, feats, n_rows=50, n_perm=4))
+    return _memo(spark, d, "shap", lambda: X.shapley_values(fitted_tree(spark, d), te, feats, n_rows=50, n_perm=4))
 
 
 @query("shapley_values")
