@@ -83,14 +83,29 @@ def _outside(c: str) -> Column:
 
 
 def _bounds_and_counts(df: DataFrame, cols: list[str], factor: float, method: str) -> DataFrame:
-    """One row: bounds and strict-outlier counts.  The bounds ride through the
-    counting aggregate (``first`` of broadcast constants), so the quantile
-    fit is computed once."""
-    b = iqr_bounds(df, cols, factor, method)
-    bcols = [x for c in cols for x in (f"{c}__q1", f"{c}__q3", f"{c}__lo", f"{c}__hi")]
-    return (df.select(*cols).crossJoin(F.broadcast(b))
-            .agg(F.count(F.lit(1)).alias("_n"), *[F.first(x).alias(x) for x in bcols],
-                 *[F.count_if(_outside(c)).alias(f"{c}__n") for c in cols]))
+    """One row: bounds and strict-outlier counts per column, plus the row count.
+
+    Fit-like (eager): the bounds row is fetched, the counting pass runs in
+    long form ``(column, value)`` joined to per-column bounds (broadcast, one
+    row per column) and grouped by column -- small code, one reduce task per
+    column -- and the few result rows come back as one literal row."""
+    from .quantiles import long_values
+    spark = df.sparkSession
+    b = iqr_bounds(df, cols, factor, method).first()
+    bl = spark.createDataFrame([(i, b[f"{c}__lo"], b[f"{c}__hi"]) for i, c in enumerate(cols)],
+                               "_c int, lo double, hi double")
+    out_cnt = {r["_c"]: r["n"] for r in long_values(df, cols).join(F.broadcast(bl), ["_c"]).groupBy("_c")
+               .agg(F.count_if((F.col("_x") < F.col("lo")) | (F.col("_x") > F.col("hi"))).alias("n")).collect()}
+    n_rows = df.count()
+    names, values = ["_n"], [n_rows]
+    for i, c in enumerate(cols):
+        for sfx in ("q1", "q3", "lo", "hi"):
+            names.append(f"{c}__{sfx}")
+            values.append(b[f"{c}__{sfx}"])
+        names.append(f"{c}__n")
+        values.append(int(out_cnt.get(i, 0)))
+    schema = ", ".join(f"`{n}` {'bigint' if n == '_n' or n.endswith('__n') else 'double'}" for n in names)
+    return spark.createDataFrame([tuple(values)], schema)
 
 
 def iqr_outlier_report(df: DataFrame, cols: list[str] | None = None,
@@ -116,8 +131,7 @@ def iqr_mask(df: DataFrame, col: str, factor: float = OUTLIER_FACTOR,
 
     As with pandas, a missing value in the column makes every bound missing,
     so no row is flagged."""
-    b = iqr_bounds(df, [col], factor, method).withColumn(
-        "_has_missing", F.lit(False))
+    b = iqr_bounds(df, [col], factor, method)
     miss = df.agg(F.count_if(_is_missing(df, col)).alias("_nm"))
     b = b.crossJoin(miss)
     out = df.crossJoin(F.broadcast(b))

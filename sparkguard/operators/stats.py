@@ -2,7 +2,9 @@
 histograms, densities, box-plot summaries."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import LABEL, safe_div
@@ -23,12 +25,6 @@ def fraud_ratio_by_hour(df: DataFrame, hour: str = "Hour", label: str = LABEL) -
 
 
 # ---------------------------------------------------------------- correlation
-import numpy as np  # noqa: E402
-import pandas as pd  # noqa: E402
-from pyspark.sql import Column, Window  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
-
-from .quantiles import quantiles  # noqa: E402
 
 GRAM_SCHEMA = "a int, b int, n long, sa double, sb double, qa double, qb double, p double"
 
