@@ -81,15 +81,11 @@ def stratified_fraction(df: DataFrame, fraction: float, seed: int = SEED, label:
 def tuning_subsample(df: DataFrame, fraction: float = TUNING_FRACTION, min_rows: int = TUNING_MIN_ROWS,
                      seed: int = SEED, label: str = LABEL, key: str = ID) -> DataFrame:
     """Stratified ``fraction`` of the rows when there are more than
-    ``min_rows``; otherwise all rows.  The row-count test stays lazy."""
-    sub = stratified_fraction(df, fraction, seed, label, key)
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    big = F.col("_n") > F.lit(min_rows)
-    if fraction >= 1.0:
+    ``min_rows``; otherwise all rows.  One count decides the branch, so only
+    the chosen plan runs."""
+    if fraction >= 1.0 or df.count() <= min_rows:
         return df
-    keep_all = df.crossJoin(F.broadcast(n)).where(~big).select(*df.columns)
-    keep_sub = sub.crossJoin(F.broadcast(n)).where(big).select(*df.columns)
-    return keep_all.unionByName(keep_sub)
+    return stratified_fraction(df, fraction, seed, label, key)
 
 
 def stratified_kfold(df: DataFrame, k: int = 3, seed: int = SEED, label: str = LABEL, key: str = ID,
