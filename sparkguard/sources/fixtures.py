@@ -37,7 +37,12 @@ def _base(spark: SparkSession, sf_dir: str, extra_event_cols: tuple[str, ...] =
         F.col("event_id").alias(ID), "ts", "value", *extra_event_cols,
         (F.col("event_id") % F.lit(n)).alias("_vec_key"))
     joined = ev.join(vec, ev["_vec_key"] == vec["vec_id"], "inner")
-    time_s = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{EPOCH}', ts)") / F.lit(1e6)
+    # wall-clock microseconds since EPOCH from the timestamp_ntz fields: exact
+    # integers and independent of the session time zone (no DST shifts)
+    days = F.datediff(F.to_date("ts"), F.lit(EPOCH[:10]).cast("date")).cast("long")
+    whole = ((days * 24 + F.hour("ts")) * 60 + F.minute("ts")) * 60
+    micros = whole * 1_000_000 + (F.date_part(F.lit("SECOND"), F.col("ts")) * 1_000_000).cast("long")
+    time_s = micros / F.lit(1e6)
     cols = [F.col(ID), time_s.alias("Time")]
     cols += [F.col("embedding")[i].cast("double").alias(v) for i, v in enumerate(V_COLS)]
     cols += [F.col("value").alias("Amount"),

@@ -63,3 +63,16 @@ def test_fixture_sizes(spark):
     d = transactions_dirty(spark, "/root/testdata/sf0.01")
     r = d.agg(F.count(F.lit(1)), F.count("Amount"), F.count_if(F.isnan("V3")), F.count("channel")).first()
     assert tuple(r) == (10200, 10093, 116, 10076)
+
+
+def test_time_independent_of_session_timezone(spark, sf):
+    from pyspark.sql import functions as F
+    base = transactions(spark, sf).select("id", "Time")
+    ref = {r["id"]: r["Time"] for r in base.collect()}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        other = {r["id"]: r["Time"] for r in transactions(spark, sf).select("id", "Time").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert other == ref
