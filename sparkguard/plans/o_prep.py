@@ -185,3 +185,10 @@ def _():
 def _():
     cols = [c for c in ENG_COLS if c != "Class"]
     return with_fixtures(rounded("SELECT * FROM eng", cols, [*FEATURE_COLS, *ENG_DOUBLES]), eng_cte())
+
+
+@oracle("count_by_category")
+def _():
+    body = ("SELECT CAST(Class AS VARCHAR) AS value, count(*) AS count, 'Class' AS category FROM eng GROUP BY 1 "
+            "UNION ALL SELECT Day_Period AS value, count(*) AS count, 'Day_Period' AS category FROM eng GROUP BY 1")
+    return with_fixtures(body, eng_cte())

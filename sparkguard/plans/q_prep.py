@@ -135,3 +135,12 @@ def align_columns_q(spark, d):
 @query("drop_target")
 def drop_target_q(spark, d):
     return FE.drop_target(eng(spark, d))
+
+
+@query("count_by_category")
+def count_by_category_q(spark, d):
+    """Rows per value of each categorical column (Class, Day_Period), long form."""
+    e = eng(spark, d)
+    parts = [e.groupBy(F.col(c).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("count"))
+             .withColumn("category", F.lit(c)) for c in ("Class", "Day_Period")]
+    return parts[0].unionByName(parts[1])
