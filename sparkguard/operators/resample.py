@@ -1,7 +1,7 @@
 """SMOTE oversampling as Spark jobs.
 
 k nearest neighbours among the minority rows are found *exactly* without
-emitting all pairs: rows are ranked along a fixed unit direction u; each row
+emitting all pairs: rows are ranked along the principal direction u; each row
 compares with the W rows on either side of its rank.  Any row outside that
 window is at least the projection gap away (|u.(a-b)| <= |a-b|), so a row
 whose k-th candidate distance is below both gaps is final; the others retry
@@ -32,10 +32,24 @@ def _sqdist(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, x: acc + x)
 
 
+def principal_direction(points: DataFrame, d: int, seed: int = SEED) -> list[float]:
+    """Unit vector of largest variance of the points (top eigenvector of the
+    d x d covariance, itself one distributed Gram-sum job).  Projection gaps
+    along it are the largest, so the kNN windows certify soonest."""
+    from .stats import covariance_matrix_np
+    flat = points.select(*[F.col("v")[i].alias(f"v{i}") for i in range(d)])
+    cov = covariance_matrix_np(flat, [f"v{i}" for i in range(d)])
+    if not np.all(np.isfinite(cov)) or not cov.any():
+        return _direction(d, seed)
+    w, vec = np.linalg.eigh(cov)
+    u = vec[:, int(np.argmax(w))]
+    return [float(x) for x in u / np.linalg.norm(u)]
+
+
 def _ranked_points(points: DataFrame, d: int, seed: int) -> DataFrame:
-    """(id, v, proj, r) with r the 0-based rank along u, ties by id; the rank
-    uses bucketed prefix counts (no single-partition window)."""
-    u = F.array(*[F.lit(x) for x in _direction(d, seed)])
+    """(id, v, proj, r) with r the 0-based rank along the principal direction,
+    ties by id; the rank uses bucketed prefix counts (no single-partition window)."""
+    u = F.array(*[F.lit(x) for x in principal_direction(points, d, seed)])
     p = points.withColumn("proj", F.aggregate(F.zip_with(F.col("v"), u, lambda x, y: x * y), F.lit(0.0),
                                               lambda acc, x: acc + x))
     rng = p.agg(F.min("proj").alias("_mn"), F.max("proj").alias("_mx"))

@@ -256,3 +256,22 @@ def grouped_describe(df: DataFrame, col: str, by: list[str], method: str = "exac
     return g.join(F.broadcast(q), by, "left").select(
         *by, "count", "mean", "std", "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
         F.col("_q")[2].alias("q75"), "max")
+
+
+def covariance_matrix_np(df: DataFrame, cols: list[str]) -> np.ndarray:
+    """Population covariance (pairwise complete) of ``cols`` as a d x d numpy
+    array, from the same per-partition Gram sums as ``correlation_matrix``
+    (the d x d result is fetched; it does not grow with the rows)."""
+    d = len(cols)
+    mu = df.agg(*[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(f"_mu{i}")
+                  for i, c in enumerate(cols)])
+    centred = df.select(*cols).crossJoin(F.broadcast(mu)).select(
+        *[(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) - F.col(f"_mu{i}")).alias(f"x{i}")
+          for i, c in enumerate(cols)])
+    g = centred.mapInPandas(_gram_partition(d), GRAM_SCHEMA).groupBy("a", "b").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sa", "sb", "p")])
+    cov = np.zeros((d, d))
+    for r in g.collect():  # d x d rows
+        n = float(r["n"]) or 1.0
+        cov[r["a"], r["b"]] = r["p"] / n - (r["sa"] / n) * (r["sb"] / n)
+    return cov
