@@ -198,21 +198,22 @@ def quality_summary(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 def describe(df: DataFrame, cols: list[str] | None = None, method: str = "exact") -> DataFrame:
     """Transposed ``describe``: ``(column, ord, count, mean, std, min, q25, q50,
-    q75, max)``; std is the sample (n-1) deviation; quartiles are exact."""
+    q75, max)``; std is the sample (n-1) deviation; quartiles are exact.
+    Moments come from a long-form ``groupBy(column)`` (one reduce task per
+    column); the quartiles from the quantile fit, joined on the column index."""
+    from .quantiles import long_values, quantiles
     cols = cols or numeric_columns(df, exclude=(ID,))
-    stats = df.agg(*[e for c in cols for e in (
-        F.count(F.col(c)).alias(f"{c}__n"), F.avg(F.col(c)).alias(f"{c}__mean"),
-        F.stddev_samp(F.col(c)).alias(f"{c}__std"), F.min(F.col(c)).cast("double").alias(f"{c}__min"),
-        F.max(F.col(c)).cast("double").alias(f"{c}__max"))])
-    q = quantiles(df, cols, [0.25, 0.5, 0.75], method=method)
-    one = stats.crossJoin(q)
-    return one.select(_rows([
-        F.struct(F.lit(c).alias("column"), F.lit(i).alias("ord"),
-                 F.col(f"{c}__n").alias("count"), F.col(f"{c}__mean").alias("mean"),
-                 F.col(f"{c}__std").alias("std"), F.col(f"{c}__min").alias("min"),
-                 F.col(c)[0].alias("q25"), F.col(c)[1].alias("q50"), F.col(c)[2].alias("q75"),
-                 F.col(f"{c}__max").alias("max"))
-        for i, c in enumerate(cols)]))
+    spark = df.sparkSession
+    mom = long_values(df, cols).groupBy("_c").agg(
+        F.count(F.lit(1)).alias("count"), F.avg("_x").alias("mean"), F.stddev_samp("_x").alias("std"),
+        F.min("_x").alias("min"), F.max("_x").alias("max"))
+    q = quantiles(df, cols, [0.25, 0.5, 0.75], method=method).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_c"), F.col(c).alias("_q")) for i, c in enumerate(cols)])))
+    names = spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "_c int, column string")
+    out = names.join(mom, ["_c"], "left").join(q, ["_c"], "left")
+    return out.select("column", F.col("_c").alias("ord"), F.coalesce("count", F.lit(0)).alias("count"),
+                      "mean", "std", "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
+                      F.col("_q")[2].alias("q75"), "max")
 
 
 def dataset_shape(df: DataFrame) -> DataFrame:
