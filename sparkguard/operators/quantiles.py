@@ -115,13 +115,13 @@ def _order_stats(lv: DataFrame, targets: dict, bounds: dict, buckets: int = BUCK
 
 
 def _column_stats(df: DataFrame, cols: list[str]) -> dict[int, dict]:
-    """count / min / max of the non-missing values of each column: one wide
-    aggregate, one row back."""
-    def v(c):
-        return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-    r = df.agg(*[e for i, c in enumerate(cols) for e in (
-        F.count(v(c)).alias(f"n{i}"), F.min(v(c)).alias(f"lo{i}"), F.max(v(c)).alias(f"hi{i}"))]).first()
-    return {i: {"n": r[f"n{i}"], "lo": r[f"lo{i}"], "hi": r[f"hi{i}"]} for i in range(len(cols))}
+    """count / min / max of the non-missing values of each column: a long-form
+    ``groupBy(column)`` (small code, one reduce task per column); one row per
+    column comes back."""
+    got = {r["_c"]: r for r in long_values(df, cols).groupBy("_c").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).collect()}
+    return {i: {"n": got[i]["n"] if i in got else 0, "lo": got[i]["lo"] if i in got else None,
+                "hi": got[i]["hi"] if i in got else None} for i in range(len(cols))}
 
 
 def exact_quantile_values(df: DataFrame, cols: list[str], probs: list[float], buckets: int = BUCKETS,
