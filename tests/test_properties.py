@@ -76,3 +76,20 @@ def test_time_independent_of_session_timezone(spark, sf):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert other == ref
+
+
+def test_sample_sizes_exact(tx):
+    n = tx.count()
+    assert SM.random_sample_n(tx, 137).count() == 137
+    assert SM.random_sample_n(tx, n + 50).count() == n  # all rows when n exceeds the table
+    s = SM.stratified_sample(tx, 200)
+    by = {r["Class"]: r["count"] for r in s.groupBy("Class").count().collect()}
+    assert sum(by.values()) == 200
+    share = tx.where("Class = 1").count() / n
+    assert by.get(1, 0) == int(200 * share)
+
+
+def test_tuning_subsample_threshold(tx):
+    n = tx.count()
+    assert SM.tuning_subsample(tx, 0.3, min_rows=n).count() == n          # not above the limit: all rows
+    assert SM.tuning_subsample(tx, 0.3, min_rows=n - 1).count() == int(0.3 * n)
