@@ -29,11 +29,16 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def key_cols(doc_id: str | Column = "doc_id", text: str | Column = "text") -> list[Column]:
-    """A 128-bit key of (doc_id, text) that is never null: rows equal in both are one document everywhere."""
-    d, t = (F.col(x) if isinstance(x, str) else x for x in (doc_id, text))
-    return [F.xxhash64(F.lit(1), d.isNull(), d, t.isNull(), t).alias("k1"),
-            F.xxhash64(F.lit(2), t, t.isNull(), d, d.isNull()).alias("k2")]
+def doc_key(text: str = "text") -> Column:
+    """A 64-bit hash of (doc_id, text), never null.  ``(doc_id, k)`` names a document: rows equal in both are the same
+    document everywhere, rows that share only the doc_id are different ones."""
+    d, t = F.col("doc_id"), F.col(text)
+    return F.xxhash64(d, d.isNull(), t, t.isNull()).alias("k")
+
+
+def same_doc(a: DataFrame, b: DataFrame) -> Column:
+    """Join condition on the names ``(doc_id, k)``, null ids included."""
+    return (a["k"] == b["k"]) & a["doc_id"].eqNullSafe(b["doc_id"])
 
 
 def whole_row(docs: DataFrame) -> Column:
