@@ -124,9 +124,9 @@ def _join_levels(a: DataFrame, b: DataFrame, levels=LEVELS) -> DataFrame:
 
 def cuts(docs: DataFrame, share: float = SHARE, weights: dict | None = None, max_epochs: int = MAX_EPOCHS,
          seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """(documents ``levels + (doc_id, x, tokens)``, leaves ``levels + (tokens, budget, epochs, bucket, last)``).
+    """(documents ``levels + (doc_id, x, tokens)``, leaves ``levels + (tokens, budget, epochs, rest, bucket, last)``).
 
-    ``epochs`` is the number of whole epochs; in the next one a leaf's documents before ``bucket`` are taken, and those
+    ``epochs`` is the number of whole epochs; of the next one, if ``rest`` tokens are left, a leaf's documents before ``bucket`` are taken, and those
     in it up to ``last``."""
     rows = docs.select(*[c.alias(n) for n, c in level_cols().items()], F.col("doc_id").cast("long").alias("doc_id"),
                        F.xxhash64("text").alias("x"), token_count(F.col("text")).alias("tokens"))
@@ -153,7 +153,7 @@ def cuts(docs: DataFrame, share: float = SHARE, weights: dict | None = None, max
         .filter(F.col("upto") <= F.col("left")).groupBy(*LEVELS).agg(F.max("name").alias("last"))
     # a leaf without a cut bucket has its whole next epoch inside the rest (only if it has no tokens)
     done = _left_levels(_left_levels(plan, at.select(*LEVELS, "bucket")), last)
-    return rows, written(done.drop("rest"), "mix-cuts")
+    return rows, written(done, "mix-cuts")
 
 
 def _left_levels(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -171,8 +171,8 @@ def _bucket(key: Column) -> Column:
 def _copies(seed: int) -> Column:
     """Times that a document (with its leaf's cut) is taken."""
     key = _order_key(seed, F.col("epochs") + 1)
-    part = (_bucket(key) < F.col("bucket")) | ((_bucket(key) == F.col("bucket"))
-                                               & (F.struct(key.alias("key"), "doc_id", "x") <= F.col("last")))
+    inside = F.struct(key.alias("key"), "doc_id", "x") <= F.col("last")
+    part = (F.col("rest") > 0) & ((_bucket(key) < F.col("bucket")) | ((_bucket(key) == F.col("bucket")) & inside))
     # leaves without tokens are taken once
     return F.when(F.col("bucket").isNull(), 1).otherwise(F.col("epochs") + F.when(F.coalesce(part, F.lit(False)), 1).otherwise(0)).cast("int")
 

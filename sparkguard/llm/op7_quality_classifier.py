@@ -115,12 +115,13 @@ def co_train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
     pool_rows = written(views(pool), "pool")
     held = fit_rows.filter(_draw(seed + 2) < 0.2)
     base = fit_rows.filter(_draw(seed + 2) >= 0.2)
-    n = {r["y"]: r["count"] for r in base.groupBy("y").count().collect()}
-    nh = {r["y"]: r["count"] for r in held.groupBy("y").count().collect()}
-    if len(n) < 2:
+    count = {(r["h"], r["y"]): r["count"] for r in fit_rows.groupBy((_draw(seed + 2) < 0.2).alias("h"), "y").count().collect()}
+    if len({y for _, y in count}) < 2:
         return None
-    if len(nh) < 2:          # too few labels to hold some out
-        held = base
+    if len(count) < 4:       # too few labels to hold some of both classes out
+        base = held = fit_rows
+        count = {(False, y): sum(n for (_, z), n in count.items() if z == y) for y in (0.0, 1.0)}
+    n = {y: count[False, y] for y in (0.0, 1.0)}
     text, meta = _fit(base, "text_x"), _fit(base, "meta_x")
     edge = math.log(confident / (1 - confident))
     for _ in range(rounds):

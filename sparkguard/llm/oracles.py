@@ -131,7 +131,7 @@ def _op10() -> str:
              f"""o AS (SELECT d.*, epochs, rest, tokens, sum(n_tokens) OVER (PARTITION BY d.domain, d.lang, d.source
   ORDER BY md5('{SEED}-' || CAST(epochs + 1 AS VARCHAR) || '-' || coalesce(CAST(doc_id AS VARCHAR), 'null')), doc_id) AS upto
   FROM docs d JOIN q ON d.domain IS NOT DISTINCT FROM q.domain AND d.lang IS NOT DISTINCT FROM q.lang AND d.source IS NOT DISTINCT FROM q.source)""",
-             "t AS (SELECT *, CASE WHEN tokens = 0 THEN 1 ELSE epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END END AS n FROM o)"]
+             "t AS (SELECT *, CASE WHEN tokens = 0 THEN 1 ELSE epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END END AS n FROM o)"]
     return "WITH " + ",\n".join(ctes) + ("\nSELECT doc_id, domain, lang, source, n_tokens, CAST(e AS INTEGER) AS epoch FROM "
                                           "(SELECT *, unnest(generate_series(1, CAST(n AS BIGINT))) AS e FROM t WHERE n > 0)")
 
