@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import id_and_text, scratch_path
 from .eliasfano import EliasFano
-from .tokens import ChunkEncoder, default_tokenizer
+from .tokens import default_tokenizer, encoder
 
 SEGMENT_TOKENS = 1 << 16
 EF = "struct<n: long, l: int, low: binary, high: binary, samples: binary>"
@@ -49,7 +49,7 @@ def _segment(part: int, seg: int, doc0: int, token0: int, ids: list, docs: list)
 def _encode_partition(path: str, end_id: int, segment_tokens: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        part, enc = TaskContext.get().partitionId(), ChunkEncoder(path)
+        part, enc = TaskContext.get().partitionId(), encoder(path)
         end = np.array([end_id], enc.dtype)
         seg = doc0 = token0 = held = 0
         ids, docs = [], []

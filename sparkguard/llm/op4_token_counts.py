@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import id_and_text, scratch_path
-from .tokens import ChunkEncoder, default_tokenizer
+from .tokens import default_tokenizer, encoder
 
 BLOCK_TOKENS = 1 << 16
 GROUP_BLOCKS = 4096
@@ -42,7 +42,7 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        file, enc = TaskContext.get().partitionId(), ChunkEncoder(tokenizer, ordinary_specials=True)
+        file, enc = TaskContext.get().partitionId(), encoder(tokenizer, True)
         end, size = np.array([end_id], enc.dtype).tobytes(), block_tokens * enc.dtype.itemsize
         held, block, ordinal = bytearray(), 0, 0
 

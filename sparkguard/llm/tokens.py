@@ -2,11 +2,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 
-#: Chunks a worker remembers (about 200 bytes each); the cache starts anew beyond it.
-CACHE_CHUNKS = 400_000
+#: Chunks in each of a worker's two generations (about 200 bytes each); beyond it the older one is forgotten.
+CACHE_CHUNKS = 500_000
 #: Texts whose chunks are looked up together.
 TEXTS_AT_ONCE = 256
 #: Marks that, as a run after letters, are one pre-token of their own.
@@ -18,6 +19,12 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str, ordinary_specials: bool = False) -> "ChunkEncoder":
+    """The worker's encoder: a reused worker keeps the loaded tokenizer and its cache for its next tasks."""
+    return ChunkEncoder(path, ordinary_specials)
+
+
 class ChunkEncoder:
     """Encodes texts chunk by chunk, a chunk being what stands between spaces or line feeds.
 
@@ -40,6 +47,7 @@ class ChunkEncoder:
         for token, i in self.tok.get_vocab(with_added_tokens=False).items():
             self.ends[i] = token.endswith("</w>")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _learn(self, chunks: Iterable[str]) -> dict[str, bytes]:
         """The ids of chunks that aren't known, as bytes."""
@@ -82,10 +90,12 @@ class ChunkEncoder:
         for at in range(0, len(texts), TEXTS_AT_ONCE):
             chunked = [t.replace("\n", " ").split(" ") if t else () for t in texts[at:at + TEXTS_AT_ONCE]]
             if len(self.known) > CACHE_CHUNKS:
-                self.known = {}
+                self.known, self.older = {}, self.known
             new = set().union(*chunked).difference(self.known)
             if new:
-                self.known.update(self._learn(new))
+                old = {c: self.older[c] for c in new if c in self.older}
+                self.known.update(old)
+                self.known.update(self._learn(new.difference(old)))
             get = self.known.__getitem__
             for chunks in chunked:
                 yield np.frombuffer(b"".join(map(get, chunks)), self.dtype)
