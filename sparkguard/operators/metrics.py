@@ -135,9 +135,20 @@ def model_comparison(scored: DataFrame, model_order: DataFrame | None = None) ->
     return binary_metrics(scored).join(auc_ap(scored), ["model"], "left")
 
 
+def _order(order_col: str) -> Column:
+    """Sort key of a model: its place in MODEL_NAMES, others after them by name; any other column as it is."""
+    if order_col != "model":
+        return F.struct(F.col(order_col))
+    from .models import MODEL_NAMES
+    place = F.lit(len(MODEL_NAMES))
+    for i, m in enumerate(MODEL_NAMES):
+        place = F.when(F.col("model") == m, i).otherwise(place)
+    return F.struct(place.alias("place"), F.col("model"))
+
+
 def model_ranking(comparison: DataFrame, order_col: str = "model") -> DataFrame:
     """Models by F1 descending, ties in model order; adds ``rank``."""
-    w = Window.orderBy(F.desc("f1"), F.asc(order_col))  # one row per model
+    w = Window.orderBy(F.desc("f1"), _order(order_col))  # one row per model
     return comparison.withColumn("rank", F.row_number().over(w))
 
 
@@ -150,7 +161,7 @@ def best_by(comparison: DataFrame, metric: str, order_col: str = "model") -> Dat
 def _best_first(df: DataFrame, m: Column, order_col: str) -> DataFrame:
     top = df.agg(F.max(m).alias("value"))
     cand = df.crossJoin(F.broadcast(top)).where(m == F.col("value"))
-    return cand.agg(F.min_by(F.col("model"), F.col(order_col)).alias("best_model"), F.first("value").alias("value"))
+    return cand.agg(F.min_by(F.col("model"), _order(order_col)).alias("best_model"), F.first("value").alias("value"))
 
 
 def best_tree_model(comparison: DataFrame, tree_models: list[str], order_col: str = "model") -> DataFrame:

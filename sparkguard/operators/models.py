@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import ID, LABEL
-from .sampling import stratified_kfold, tuning_subsample
+from .ranked import null_safe_join
+from .sampling import TUNING_MIN_ROWS, stratified_kfold, tuning_subsample
 
 # Model names (in report order), seed, live and extended grids.
 MODEL_NAMES = ["logistic_regression", "random_forest", "gradient_boosting", "xgboost", "lightgbm"]
@@ -88,7 +89,7 @@ def with_class_weights(df: DataFrame, label: str = LABEL, weight_col: str = "w")
     cc = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     tot = cc.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
     w = cc.crossJoin(tot).select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(weight_col))
-    return df.join(F.broadcast(w), [label])
+    return null_safe_join(df, w, [label])
 
 
 def build_estimator(model: str, params: dict[str, Any] | None = None, n_rows: int | None = None,
@@ -169,27 +170,47 @@ def train_all_base(train: DataFrame, test: DataFrame, features: list[str],
     return fitted, scored
 
 
+def _weight_name(model: str, p: dict) -> str:
+    """The weight column of a grid point: one per ``scale_pos_weight`` for xgboost, else ``w``."""
+    return f"w_{float(p.get('scale_pos_weight', 1))}".replace(".", "_") if model == "xgboost" else "w"
+
+
+def _different_points(model: str, n_iter: int, seed: int) -> list[dict]:
+    """The first ``n_iter`` grid points, in seeded order, that give different fits here."""
+    out, seen = [], set()
+    for p in random_search_sample(model, 10**6, seed):
+        e = build_estimator(model, p, 1)
+        mark = repr(sorted((k.name, str(v)) for k, v in e.extractParamMap().items())) + _weight_name(model, p)
+        if mark not in seen:
+            seen.add(mark)
+            out.append(p)
+    return out[:n_iter]
+
+
 def _param_maps(est, model: str, points: list[dict], n_rows: int):
     maps = []
     for p in points:
-        e = build_estimator(model, p, n_rows)
+        e = build_estimator(model, p, n_rows, weight_col=_weight_name(model, p))
         maps.append({est.getParam(k.name): v for k, v in e.extractParamMap().items()
                      if est.hasParam(k.name) and k.name not in ("featuresCol", "labelCol")})
     return maps
 
 
 def random_search_cv(train: DataFrame, features: list[str], model: str, n_iter: int = 10, folds: int = 3,
-                     subsample: float = 0.3, seed: int = SEED, parallelism: int = 4):
+                     subsample: float = 0.3, seed: int = SEED, parallelism: int = 4, min_rows: int = TUNING_MIN_ROWS):
     """Stratified k-fold random search on F1 of class 1, then refit on all
     training rows.  Returns (refit model, best params, best CV F1)."""
-    points = random_search_sample(model, n_iter, seed)
-    sample = stratified_kfold(tuning_subsample(train, subsample, seed=seed), folds, seed)
-    data = prepare(sample, features, model).persist()
-    n_rows = data.count()
+    points = _different_points(model, n_iter, seed)
+    sample = stratified_kfold(tuning_subsample(train, subsample, min_rows, seed=seed), folds, seed)
+    data = prepare(sample, features, model)
+    for p in points if model == "xgboost" else ():
+        data = data.withColumn(_weight_name(model, p), F.when(F.col(LABEL) == 1, F.lit(float(p["scale_pos_weight"]))).otherwise(1.0))
+    data = data.persist()
+    n_rows = data.count() * (folds - 1) // folds     # rows that each fold's fit sees
     est = build_estimator(model, None, n_rows)
     ev = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="fMeasureByLabel", metricLabel=1.0, beta=1.0)
     cv = CrossValidator(estimator=est, estimatorParamMaps=_param_maps(est, model, points, n_rows), evaluator=ev,
-                        foldCol="fold", parallelism=parallelism, seed=seed)
+                        numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
     cvm = cv.fit(data)
     best_i = max(range(len(points)), key=lambda i: (cvm.avgMetrics[i], -i))
     data.unpersist()
@@ -242,11 +263,11 @@ def fit_pipeline(train: DataFrame, features: list[str], model: str, params: dict
 
 def tune_all(train: DataFrame, test: DataFrame, features: list[str], models: list[str] | None = None,
              n_iter: int = 10, folds: int = 3, subsample: float = 0.3, seed: int = SEED):
-    """Random search for every model; returns (best params per model, scored test rows)."""
-    best, scored = {}, None
+    """Random search for every model; returns (best params per model, scored test rows, refit models)."""
+    best, scored, fitted = {}, None, {}
     for m in models or MODEL_NAMES:
         refit, params, _ = random_search_cv(train, features, m, n_iter, folds, subsample, seed)
-        best[m] = params
+        best[m], fitted[m] = params, refit
         s = score(refit, test, features, m)
         scored = s if scored is None else scored.unionByName(s)
-    return best, scored
+    return best, scored, fitted

@@ -38,18 +38,67 @@ def ranked(df: DataFrame, key: Column, tiebreak: str, partition_cols: list[str]
         F.coalesce(F.sum("_bn").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         F.sum("_bn").over(Window.partitionBy(*parts)).alias(size_col))
     within = F.row_number().over(Window.partitionBy(*parts, "_b").orderBy("_key", tiebreak))
-    out = keyed.withColumn("_rn", within).join(F.broadcast(offs), [*parts, "_b"])
+    out = null_safe_join(keyed.withColumn("_rn", within), offs, [*parts, "_b"])
     out = out.withColumn(rank_col, F.col("_off") + F.col("_rn")).drop("_key", "_b", "_rn", "_off")
     return (out, counts) if return_counts else out
 
 
+def null_safe_join(df: DataFrame, small: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Join a small per-stratum table on ``cols`` with NULL equal to NULL."""
+    right = small.select(*[F.col(c).alias(f"_j_{c}") for c in cols], *[c for c in small.columns if c not in cols])
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_j_{c}"))
+    return df.join(F.broadcast(right), cond, how).drop(*[f"_j_{c}" for c in cols])
+
+
+def bucket_counts(df: DataFrame, key: Column, partition_cols: list[str], bucket_hex: int = DEFAULT_BUCKET_HEX) -> DataFrame:
+    """``(*strata, _b, _bn)``: rows per stratum and key bucket."""
+    return df.select(*partition_cols, F.substring(key, 1, bucket_hex).alias("_b")) \
+        .groupBy(*partition_cols, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+
+
+def first_in_order(df: DataFrame, key: Column, tiebreak: str, partition_cols: list[str], counts: DataFrame,
+                   quotas: DataFrame) -> DataFrame:
+    """A table of one row per stratum ``(*strata, _cut)``: the ``(key, tiebreak)`` of the ``quota``-th row.
+
+    Only the one bucket per stratum that the quota falls in is ranked, on key and tiebreak alone; no other row is
+    shuffled.  Compare ``struct(key, tiebreak) <= _cut`` to tell the first ``quota`` rows; ``_cut`` is NULL for quota 0.
+    """
+    parts = list(partition_cols)
+    w = Window.partitionBy(*parts).orderBy("_b")
+    offs = counts.select(*parts, "_b", "_bn", F.sum("_bn").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"))
+    offs = null_safe_join(offs, quotas, parts) if parts else offs.crossJoin(F.broadcast(quotas))
+    total = F.sum("_bn").over(Window.partitionBy(*parts))
+    offs = offs.withColumn("_want", F.least("quota", total)) \
+        .where((F.col("_want") > F.col("_upto") - F.col("_bn")) & (F.col("_want") <= F.col("_upto"))) \
+        .select(*parts, "_b", (F.col("_want") - F.col("_upto") + F.col("_bn")).alias("_nth"))
+    rows = df.select(*parts, key.alias("_key"), F.col(tiebreak).alias("_id")) \
+        .withColumn("_b", F.substring("_key", 1, DEFAULT_BUCKET_HEX))
+    edge = null_safe_join(rows, offs, [*parts, "_b"])
+    nth = F.row_number().over(Window.partitionBy(*parts).orderBy("_key", "_id"))
+    cut = edge.withColumn("_rn", nth).where("_rn = _nth").select(*parts, F.struct("_key", "_id").alias("_cut"))
+    keep = quotas.select(*parts)
+    return null_safe_join(keep, cut, parts, "left") if parts else keep.join(F.broadcast(cut), F.lit(True), "left")
+
+
+def mark_first(df: DataFrame, key: Column, tiebreak: str, partition_cols: list[str], counts: DataFrame,
+               quotas: DataFrame, name: str = "_in") -> DataFrame:
+    """``df`` with the boolean ``name``: whether the row is among the first ``quota`` of its stratum."""
+    cut = first_in_order(df, key, tiebreak, partition_cols, counts, quotas)
+    out = null_safe_join(df, cut, list(partition_cols), "left") if partition_cols else df.join(F.broadcast(cut), F.lit(True), "left")
+    inside = F.struct(key.alias("_key"), F.col(tiebreak).alias("_id")) <= F.col("_cut")
+    return out.withColumn(name, F.coalesce(inside, F.lit(False))).drop("_cut")
+
+
 def approximate_mode(class_counts: DataFrame, label: str, count_col: str, draw: Column) -> DataFrame:
     """Largest-remainder allocation of ``draw`` rows over classes in
     proportion to their counts (ties to the lower class).  ``draw`` may use
     the total as ``_total``.  Runs on the per-class table only."""
     w_all = Window.partitionBy()
     t = class_counts.withColumn("_total", F.sum(count_col).over(w_all)).withColumn("_draw", draw)
-    cont = (F.col("_draw") * F.col(count_col)).cast("double") / F.col("_total").cast("double")
+    big = "decimal(19,0)"    # a BIGINT product overflows above 3e9 rows
+    cont = (F.col("_draw").cast(big) * F.col(count_col).cast(big)).cast("double") / F.col("_total").cast("double")
     t = t.withColumn("_fl", F.floor(cont)).withColumn("_rem", cont - F.floor(cont))
     t = t.withColumn("_need", F.col("_draw") - F.sum("_fl").over(w_all))
     rk = F.row_number().over(Window.orderBy(F.desc("_rem"), F.asc(label)))

@@ -79,7 +79,7 @@ def knn_minority(points: DataFrame, k: int = K_NEIGHBORS, seed: int = SEED,
         raise ValueError(f"SMOTE needs more than k={k} minority rows, got {m}")
     todo = pts.select(ID, "v", "proj", "r")
     done = None
-    w = initial_window
+    w = max(initial_window, k)   # each row must see k candidates even at the ends
     while True:
         # candidate pairs: ranks r +/- 1..W (never all pairs unless W reaches m)
         off = spark.range(1, w + 1).select(F.col("id").cast("long").alias("_o"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import ID, LABEL
-from .ranked import approximate_mode, md5_key, ranked
+from .ranked import approximate_mode, bucket_counts, mark_first, md5_key, ranked
 
 # Split fraction and seed, tuning subsample, sample caps.
 TEST_SIZE = 0.2
@@ -37,18 +37,20 @@ def split_quotas(df: DataFrame, test_size: float = TEST_SIZE, label: str = LABEL
 def stratified_split(df: DataFrame, test_size: float = TEST_SIZE, seed: int = SEED,
                      label: str = LABEL, key: str = ID, split_col: str = "split") -> DataFrame:
     """Add ``split`` in {'train', 'test'}: exact sizes, class shares kept."""
-    r, counts = ranked(df, md5_key(key, seed), key, [label], return_counts=True)
+    order = md5_key(key, seed)
+    counts = bucket_counts(df, order, [label])
     cc = counts.groupBy(label).agg(F.sum("_bn").alias("n_c"))  # class totals from bucket totals
-    quotas = split_quotas(df, test_size, label, cc).select(label, "train_c")
-    out = r.join(F.broadcast(quotas), [label])
-    return out.select(*df.columns, F.when(F.col("_rank") <= F.col("train_c"), F.lit("train"))
-                      .otherwise(F.lit("test")).alias(split_col))
+    quotas = split_quotas(df, test_size, label, cc).select(label, F.col("train_c").alias("quota"))
+    out = mark_first(df, order, key, [label], counts, quotas)
+    return out.select(*df.columns, F.when(F.col("_in"), F.lit("train")).otherwise(F.lit("test")).alias(split_col))
 
 
 def random_sample_n(df: DataFrame, n: int, seed: int = SEED, key: str = ID, salt: str = "sample") -> DataFrame:
     """Exactly ``min(n, rows)`` rows without replacement."""
-    r = ranked(df, md5_key(key, seed, salt), key, [])
-    return r.where(F.col("_rank") <= F.lit(n)).select(*df.columns)
+    order = md5_key(key, seed, salt)
+    counts = bucket_counts(df, order, [])
+    quotas = counts.agg(F.lit(int(n)).cast("long").alias("quota"))
+    return mark_first(df, order, key, [], counts, quotas).where("_in").select(*df.columns)
 
 
 def stratified_sample(df: DataFrame, n: int, seed: int = SEED, label: str = LABEL, key: str = ID,
@@ -64,18 +66,20 @@ def stratified_sample(df: DataFrame, n: int, seed: int = SEED, label: str = LABE
     n_min = F.when(few, F.col("_m1")).otherwise(want_min)
     n_maj = F.when(few, F.least(F.col("_m0"), F.lit(n) - F.col("_m1"))).otherwise(F.lit(n) - want_min)
     quotas = cc.crossJoin(tot).select(label, F.when(F.col(label) == 1, n_min).otherwise(n_maj).alias("quota"))
-    r = ranked(df, md5_key(key, seed, salt), key, [label])
-    return r.join(F.broadcast(quotas), [label]).where(F.col("_rank") <= F.col("quota")).select(*df.columns)
+    order = md5_key(key, seed, salt)
+    counts = bucket_counts(df, order, [label])
+    return mark_first(df, order, key, [label], counts, quotas).where("_in").select(*df.columns)
 
 
 def stratified_fraction(df: DataFrame, fraction: float, seed: int = SEED, label: str = LABEL,
                         key: str = ID, salt: str = "frac") -> DataFrame:
     """Keep floor(fraction * n) rows, allocated to classes by largest remainder."""
     draw = F.floor(F.lit(float(fraction)) * F.col("_total"))
-    r, counts = ranked(df, md5_key(key, seed, salt), key, [label], return_counts=True)
+    order = md5_key(key, seed, salt)
+    counts = bucket_counts(df, order, [label])
     cc = counts.groupBy(label).agg(F.sum("_bn").alias("n_c"))
     q = approximate_mode(cc, label, "n_c", draw).select(label, "quota")
-    return r.join(F.broadcast(q), [label]).where(F.col("_rank") <= F.col("quota")).select(*df.columns)
+    return mark_first(df, order, key, [label], counts, q).where("_in").select(*df.columns)
 
 
 def tuning_subsample(df: DataFrame, fraction: float = TUNING_FRACTION, min_rows: int = TUNING_MIN_ROWS,

@@ -66,7 +66,9 @@ def preprocess(df: DataFrame, test_size: float = 0.2, seed: int = 42, scaler: st
     train, test = _align(train, test)
     feats = model_features(train)
     test = test.withColumns({c: F.col(c).cast("double") for c in feats})
-    if not scale_first:
+    if scale_first:
+        test = SC.apply_scaler(test, params, feats)   # the parameters fitted on train
+    else:
         params = SC.fit_scaler(train, feats, scaler)
         train = SC.apply_scaler(train, params, feats)
         test = SC.apply_scaler(test, params, feats)

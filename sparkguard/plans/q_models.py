@@ -17,7 +17,7 @@ _CACHE: dict = {}
 
 
 def processed(spark, d):
-    k = (id(spark), d)
+    k = (spark.sparkContext.applicationId, d)
     if k not in _CACHE:
         out, feats, _ = PP.preprocess(tx(spark, d))
         _CACHE[k] = (out, feats)
@@ -30,7 +30,7 @@ def split(spark, d):
 
 
 def _memo(spark, d, name, build):
-    k = (id(spark), d, name)
+    k = (spark.sparkContext.applicationId, d, name)
     if k not in _CACHE:
         _CACHE[k] = build()
     return _CACHE[k]
@@ -138,7 +138,7 @@ def permutation_importance_q(spark, d):
 
 def _shap(spark, d):
     tr, te, feats = split(spark, d)
-    return _memo(spark, d, "shap", lambda: X.shapley_values(fitted_tree(spark, d), te, feats, n_rows=50, n_perm=4))
+    return _memo(spark, d, "shap", lambda: X.shapley_values(fitted_tree(spark, d), te, feats, n_perm=4))
 
 
 @query("shapley_values")
