@@ -76,7 +76,7 @@ def first_in_order(df: DataFrame, key: Column, tiebreak: str, partition_cols: li
     rows = df.select(*parts, key.alias("_key"), F.col(tiebreak).alias("_id")) \
         .withColumn("_b", F.substring("_key", 1, DEFAULT_BUCKET_HEX))
     edge = null_safe_join(rows, offs, [*parts, "_b"])
-    nth = F.row_number().over(Window.partitionBy(*parts).orderBy("_key", "_id"))
+    nth = F.row_number().over(Window.partitionBy(*parts, "_b").orderBy("_key", "_id"))   # one bucket per stratum
     cut = edge.withColumn("_rn", nth).where("_rn = _nth").select(*parts, F.struct("_key", "_id").alias("_cut"))
     keep = quotas.select(*parts)
     return null_safe_join(keep, cut, parts, "left") if parts else keep.join(F.broadcast(cut), F.lit(True), "left")
