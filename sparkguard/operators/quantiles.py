@@ -3,15 +3,17 @@
 Values are unpivoted to long form ``(column, x)`` so each column reduces in
 its own task and code stays small.  ``method``:
 
-* ``'exact'`` (default) -- distributed selection by histogram refinement.
-  Targets are the order statistics floor/ceil((n-1)p).  Each pass counts the
-  rows of every open interval on ``BUCKETS`` equal-width buckets
-  (``groupBy(column, interval, bucket)`` with map-side combine, so the shuffle
-  holds at most intervals x BUCKETS rows whatever the data size or skew), keeps
-  the bucket that contains each target rank, and narrows the interval to that
-  bucket's [min, max].  An interval holding a single value is resolved.  No
-  task ever holds all distinct values of a column; a value repeated on a
-  third of the rows is just one count.
+* ``'exact'`` (default) -- distributed selection by rank brackets.  Targets
+  are the order statistics floor/ceil((n-1)p).  One scan counts the rows of
+  every column and takes a ``percentile_approx`` grid; each target rank falls
+  between two grid values a few grid steps apart.  A second scan counts the
+  rows below that bracket and, inside it, the rows of each distinct value
+  (map-side combined), whose running sums name the target.  A bracket expected
+  to hold more than ``FINISH_ROWS`` values is sketched and cut again.  The
+  sketch only proposes brackets: a rank that isn't inside one (the counts
+  tell) gets a new bracket on its side, so results are exact.  Brackets follow
+  ranks, not distances, so infinities and heavy tails are ordinary values and
+  a value repeated on a third of the rows is one count.
 * ``'percentile'`` -- Spark's exact ``percentile`` per column (its buffer is a
   value -> count map, so memory grows with the distinct values).
 * ``'approx'`` -- ``percentile_approx`` (bounded sketch, rank error 1/accuracy).
@@ -23,8 +25,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
-MAX_PASSES = 24
+GRID = 1024              # sketch quantiles per interval
+SKETCH_ACCURACY = 10_000
+FINISH_ROWS = 1_000_000  # a bracket of about this many distinct values at most is ranked in one window group
+INF = float("inf")
 
 
 def quantile_expr(col: str, probs: list[float], method: str = "percentile",
@@ -39,146 +43,124 @@ def quantile_expr(col: str, probs: list[float], method: str = "percentile",
     raise ValueError(f"unknown quantile method {method!r}")
 
 
-def long_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    """``(_c, _x)``: column index and non-missing value (NaN counts as missing)."""
-    return df.select(F.inline(F.array(*[
+def long_values(df: DataFrame, cols: list[str], keep: list[str] = ()) -> DataFrame:
+    """``(keep..., _c, _x)``: column index and non-missing value (NaN counts as missing)."""
+    return df.select(*keep, F.inline(F.array(*[
         F.struct(F.lit(i).alias("_c"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("_x"))
         for i, c in enumerate(cols)]))).where(F.col("_x").isNotNull())
 
 
-def _wide(long_q: DataFrame, cols: list[str], n_probs: int) -> DataFrame:
-    """(_c, _p, q) -> one row, column c = array of its quantiles (NULL if no data)."""
-    spark = long_q.sparkSession
-    grid = spark.range(len(cols)).select(F.col("id").cast("int").alias("_c")).crossJoin(
-        spark.range(n_probs).select(F.col("id").cast("int").alias("_p")))
-    full = grid.join(long_q, ["_c", "_p"], "left")
-    arr = full.groupBy("_c").agg(F.transform(F.array_sort(F.collect_list(F.struct("_p", "q"))),
-                                             lambda s: s["q"]).alias("qs"))
-    return arr.agg(*[F.first(F.when(F.col("_c") == i, F.col("qs")), ignorenulls=True).alias(c)
-                     for i, c in enumerate(cols)])
+def _sketch(rows: DataFrame, keys: list[str], grid: int, lo: Column, hi: Column) -> DataFrame:
+    """Per key: rows below ``lo``, at ``lo``, strictly inside and at ``hi``; least, greatest and grid values inside."""
+    x = F.when((F.col("_x") > lo) & (F.col("_x") < hi), F.col("_x"))
+    probs = F.array(*[F.lit(i / grid) for i in range(1, grid)])
+    return rows.groupBy(*keys).agg(
+        F.count_if(F.col("_x") < lo).alias("lt"), F.count_if(F.col("_x") == lo).alias("at_lo"), F.count(x).alias("n"),
+        F.count_if(F.col("_x") == hi).alias("at_hi"), F.min(x).alias("mn"), F.max(x).alias("mx"),
+        F.percentile_approx(x, probs, SKETCH_ACCURACY).alias("g"))
 
 
-FINISH_ROWS = 1_000_000  # a chosen bucket with at most this many rows is ranked directly
+def _whole(rows: DataFrame, keys: list[str], grid: int) -> list:
+    """Sketch rows of whole columns, the infinities as the two ends."""
+    return _sketch(rows, keys, grid, F.lit(-INF), F.lit(INF)).collect()  # one row per key
 
 
-def _order_stats(lv: DataFrame, targets: dict, bounds: dict, buckets: int = BUCKETS,
-                 max_passes: int = MAX_PASSES, key_type: str = "int") -> dict:
-    """Exact order statistics ``(column, rank) -> value`` (ranks 0-based).
+def _bracket(r, k: int, grid: int) -> tuple[float, float, int]:
+    """(lo, hi, most values strictly between) around rank ``k``, which lies inside the sketched interval ``r``."""
+    if r["n"] <= min(FINISH_ROWS, 2 * SKETCH_ACCURACY):
+        return r["mn"], r["mx"], r["n"]
+    i = (k - r["lt"] - r["at_lo"]) * grid // r["n"]
+    g = [r["mn"], *r["g"], r["mx"]]
+    return g[max(0, i - 2)], g[min(grid, i + 3)], 5 * r["n"] // grid
 
-    The per-target state (a few rows per column) travels through the driver
-    between passes, like a model fit; rows never do."""
+
+def _order_stats(lv: DataFrame, first: dict, targets: dict, key_type: str, grid: int) -> dict:
+    """Exact order statistics ``(key, rank) -> value`` (ranks 0-based) of ``lv(_c, _x)``.
+
+    ``first`` holds the sketch row of each key.  The per-target state (a few
+    numbers) travels through the driver between scans, like a model fit; rows
+    never do.  Intervals exclude their ends, whose rows are counted apart, so
+    each cut leaves about 5 / ``grid`` of the values however often one repeats."""
     spark = lv.sparkSession
-    out: dict[tuple[int, int], float] = {}
-    open_ = []
-    for c, ks in targets.items():
-        lo, hi = bounds[c]
-        for k in ks:
-            if lo == hi:
+    schema = f"_c {key_type}, k long, lo double, hi double"
+    out: dict[tuple, float] = {}
+    sketched = [(c, k, -INF, INF, first[c]) for c, ks in targets.items() for k in ks]
+    while sketched:
+        finish, again = [], []
+        for c, k, lo, hi, r in sketched:
+            upto_lo, upto_in = r["lt"] + r["at_lo"], r["lt"] + r["at_lo"] + r["n"]
+            if k < r["lt"]:
+                again.append((c, k, -INF, lo))
+            elif k < upto_lo:
                 out[(c, k)] = lo
+            elif k >= upto_in + r["at_hi"]:
+                again.append((c, k, hi, INF))
+            elif k >= upto_in:
+                out[(c, k)] = hi
+            elif r["mn"] == r["mx"]:
+                out[(c, k)] = r["mn"]
             else:
-                open_.append((c, k, lo, hi, k))
-    schema = f"_c {key_type}, k long, lo double, hi double, kr long"
-    for _ in range(max_passes):
-        if not open_:
-            break
-        tg = spark.createDataFrame(open_, schema)
-        iv = tg.select("_c", "lo", "hi").distinct()
-        b = F.least(F.lit(buckets - 1),
-                    F.floor((F.col("_x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets)).cast("int")
-        cnt = (lv.join(F.broadcast(iv), ["_c"])
-               .where((F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi")))
-               .groupBy("_c", "lo", "hi", b.alias("_b"))
-               .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_bmin"), F.max("_x").alias("_bmax")))
-        w = Window.partitionBy("_c", "lo", "hi").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        cnt = cnt.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))  # <= buckets rows per interval
-        picked = (F.broadcast(tg).join(cnt, ["_c", "lo", "hi"])
-                  .where((F.col("kr") >= F.col("_before")) & (F.col("kr") < F.col("_before") + F.col("_n")))
-                  .select("_c", "k", "_bmin", "_bmax", "_n", (F.col("kr") - F.col("_before")).alias("kr"))
-                  .collect())  # one row per open target
-        open_, small = [], []
-        for r in picked:
-            if r["_bmin"] == r["_bmax"]:
-                out[(r["_c"], r["k"])] = r["_bmin"]
-            elif r["_n"] <= FINISH_ROWS:
-                small.append((r["_c"], r["k"], r["_bmin"], r["_bmax"], r["kr"]))
-            else:
-                open_.append((r["_c"], r["k"], r["_bmin"], r["_bmax"], r["kr"]))
-        if small:
-            fs = spark.createDataFrame(small, schema)
-            rows = lv.join(F.broadcast(fs), ["_c"]).where((F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi")))
-            rn = F.row_number().over(Window.partitionBy("_c", "k").orderBy("_x")) - 1  # bounded: <= FINISH_ROWS
-            for r in rows.withColumn("_rn", rn).where(F.col("_rn") == F.col("kr")).select("_c", "k", "_x").collect():
-                out[(r["_c"], r["k"])] = r["_x"]
-    if open_:
-        raise RuntimeError("quantile selection did not converge; use method='percentile'")
+                b_lo, b_hi, values = _bracket(r, k, grid)
+                (finish if values <= FINISH_ROWS or b_lo == b_hi else again).append((c, k, b_lo, b_hi))
+        if finish:
+            found = _rank_inside(lv, spark.createDataFrame(finish, schema))
+            for c, k, lo, hi in finish:
+                below, v = found[(c, k)]
+                if v is not None:
+                    out[(c, k)] = v
+                else:   # outside its bracket: look on that side
+                    again.append((c, k, -INF, lo) if k < below else (c, k, hi, INF))
+        sketched = []
+        if again:
+            iv = spark.createDataFrame(again, schema).select("_c", "lo", "hi").distinct()
+            rows = lv.join(F.broadcast(iv), ["_c"]).where(F.col("_x") <= F.col("hi"))
+            got = {(r["_c"], r["lo"], r["hi"]): r
+                   for r in _sketch(rows, ["_c", "lo", "hi"], grid, F.col("lo"), F.col("hi")).collect()}
+            sketched = [(c, k, lo, hi, got[(c, lo, hi)]) for c, k, lo, hi in again]
     return out
 
 
-def _column_stats(df: DataFrame, cols: list[str]) -> dict[int, dict]:
-    """count / min / max of the non-missing values of each column: a long-form
-    ``groupBy(column)`` (small code, one reduce task per column); one row per
-    column comes back."""
-    got = {r["_c"]: r for r in long_values(df, cols).groupBy("_c").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).collect()}
-    return {i: {"n": got[i]["n"] if i in got else 0, "lo": got[i]["lo"] if i in got else None,
-                "hi": got[i]["hi"] if i in got else None} for i in range(len(cols))}
+def _rank_inside(lv: DataFrame, tg: DataFrame) -> dict:
+    """``(key, rank) -> (rows below the bracket, value or None if the rank is outside it)``."""
+    iv = tg.select("_c", "lo", "hi").distinct()
+    v = F.when(F.col("_x") >= F.col("lo"), F.col("_x"))
+    cnt = (lv.join(F.broadcast(iv), ["_c"]).where(F.col("_x") <= F.col("hi"))
+           .groupBy("_c", "lo", "hi", v.alias("v")).agg(F.count(F.lit(1)).alias("m")))
+    w = Window.partitionBy("_c", "lo", "hi").orderBy(F.asc_nulls_first("v"))
+    cum = cnt.withColumn("upto", F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    hit = F.col("v").isNotNull() & (F.col("k") >= F.col("upto") - F.col("m")) & (F.col("k") < F.col("upto"))
+    rows = (cum.join(F.broadcast(tg), ["_c", "lo", "hi"]).groupBy("_c", "k")
+            .agg(F.coalesce(F.max(F.when(F.col("v").isNull(), F.col("m"))), F.lit(0)).alias("below"),
+                 F.max(F.when(hit, F.col("v"))).alias("v")))
+    return {(r["_c"], r["k"]): (r["below"], r["v"]) for r in rows.collect()}  # one row per target
 
 
-def exact_quantile_values(df: DataFrame, cols: list[str], probs: list[float], buckets: int = BUCKETS,
-                          max_passes: int = MAX_PASSES) -> dict[tuple[int, int], float]:
-    """``(column index, prob index) -> quantile`` by distributed selection."""
-    lv = long_values(df, cols)
-    st = _column_stats(df, cols)
+def _interp(x: float, lo_k: int, hi_k: int, v_lo: float, v_hi: float) -> float:
+    return float(v_lo if (hi_k == lo_k or v_hi == v_lo) else (hi_k - x) * v_lo + (x - lo_k) * v_hi)
+
+
+def _selected(lv: DataFrame, first: dict, probs: list[float], key_type: str, grid: int) -> dict:
+    """``(key, prob index) -> quantile`` for the keys of ``first`` (their sketch rows)."""
     targets, pos = {}, {}
-    for c, r in st.items():
-        if r["n"] == 0:
-            continue
+    for c, r in first.items():
         for pi, p in enumerate(probs):
-            x = float(r["n"] - 1) * float(p)
-            lo_k, hi_k = int(math.floor(x)), int(math.ceil(x))
-            pos[(c, pi)] = (x, lo_k, hi_k)
-            targets.setdefault(c, set()).update((lo_k, hi_k))
-    vals = _order_stats(lv, {c: sorted(k) for c, k in targets.items()},
-                        {c: (r["lo"], r["hi"]) for c, r in st.items() if r["n"] > 0}, buckets, max_passes)
-    out = {}
-    for (c, pi), (x, lo_k, hi_k) in pos.items():
-        v_lo, v_hi = vals[(c, lo_k)], vals[(c, hi_k)]
-        out[(c, pi)] = float(v_lo if (hi_k == lo_k or v_hi == v_lo) else (hi_k - x) * v_lo + (x - lo_k) * v_hi)
-    return out
+            x = float(r["lt"] + r["at_lo"] + r["n"] + r["at_hi"] - 1) * float(p)
+            pos[(c, pi)] = (x, int(math.floor(x)), int(math.ceil(x)))
+            targets.setdefault(c, set()).update(pos[(c, pi)][1:])
+    vals = _order_stats(lv, first, targets, key_type, grid)
+    return {(c, pi): _interp(x, a, b, vals[(c, a)], vals[(c, b)]) for (c, pi), (x, a, b) in pos.items()}
 
 
-def quantiles_long(df: DataFrame, cols: list[str], probs: list[float], method: str = "exact",
-                   accuracy: int = 100_000, buckets: int = BUCKETS, max_passes: int = MAX_PASSES) -> DataFrame:
-    """``(_c, _p, q)`` for column index ``_c`` and probability index ``_p``."""
+def exact_quantile_values(df: DataFrame, cols: list[str], probs: list[float],
+                          grid: int = GRID) -> dict[tuple[int, int], float]:
+    """``(column index, prob index) -> quantile`` by distributed selection."""
     lv = long_values(df, cols)
-    spark = df.sparkSession
-    if method in ("percentile", "approx"):
-        q = lv.groupBy("_c").agg(quantile_expr("_x", probs, method, accuracy).alias("_q"))
-        return q.select("_c", F.posexplode("_q").alias("_p", "q"))
-    if method != "exact":
-        raise ValueError(f"unknown quantile method {method!r}")
-    st = _column_stats(df, cols)
-    targets, pos = {}, {}
-    for c, r in st.items():
-        if r["n"] == 0:
-            continue
-        for pi, p in enumerate(probs):
-            x = float(r["n"] - 1) * float(p)
-            lo_k, hi_k = int(math.floor(x)), int(math.ceil(x))
-            pos[(c, pi)] = (x, lo_k, hi_k)
-            targets.setdefault(c, set()).update((lo_k, hi_k))
-    vals = _order_stats(lv, {c: sorted(k) for c, k in targets.items()},
-                        {c: (r["lo"], r["hi"]) for c, r in st.items() if r["n"] > 0}, buckets, max_passes)
-    rows = []
-    for (c, pi), (x, lo_k, hi_k) in pos.items():
-        v_lo, v_hi = vals[(c, lo_k)], vals[(c, hi_k)]
-        q = v_lo if (hi_k == lo_k or v_hi == v_lo) else (hi_k - x) * v_lo + (x - lo_k) * v_hi
-        rows.append((c, pi, float(q)))
-    return spark.createDataFrame(rows, "_c int, _p int, q double")
+    first = {r["_c"]: r for r in _whole(lv, ["_c"], grid)}
+    return _selected(lv, first, probs, "int", grid)
 
 
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str = "exact",
-              accuracy: int = 100_000, chunk: int = 0) -> DataFrame:
+              accuracy: int = 100_000) -> DataFrame:
     """One row; column ``c`` holds the quantiles of ``c`` at ``probs``
     (NULL when the column has no values)."""
     if not cols:
@@ -189,28 +171,9 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str =
                     for i in range(len(cols)))
         schema = ", ".join(f"`{c}` array<double>" for c in cols)
         return df.sparkSession.createDataFrame([row], schema)
-    return _wide(quantiles_long(df, cols, probs, method, accuracy), cols, len(probs))
-
-
-def _interp_targets(stats: dict, probs: list[float]):
-    targets, pos = {}, {}
-    for c, r in stats.items():
-        if r["n"] == 0:
-            continue
-        for pi, p in enumerate(probs):
-            x = float(r["n"] - 1) * float(p)
-            lo_k, hi_k = int(math.floor(x)), int(math.ceil(x))
-            pos[(c, pi)] = (x, lo_k, hi_k)
-            targets.setdefault(c, set()).update((lo_k, hi_k))
-    return {c: sorted(k) for c, k in targets.items()}, pos
-
-
-def _interpolate(vals: dict, pos: dict) -> dict:
-    out = {}
-    for (c, pi), (x, lo_k, hi_k) in pos.items():
-        v_lo, v_hi = vals[(c, lo_k)], vals[(c, hi_k)]
-        out[(c, pi)] = float(v_lo if (hi_k == lo_k or v_hi == v_lo) else (hi_k - x) * v_lo + (x - lo_k) * v_hi)
-    return out
+    q = long_values(df, cols).groupBy("_c").agg(quantile_expr("_x", probs, method, accuracy).alias("_q"))
+    return q.agg(*[F.first(F.when(F.col("_c") == i, F.col("_q")), ignorenulls=True).alias(c)
+                   for i, c in enumerate(cols)])
 
 
 def grouped_quantiles(df: DataFrame, by: list[str], cols: list[str], probs: list[float],
@@ -219,25 +182,16 @@ def grouped_quantiles(df: DataFrame, by: list[str], cols: list[str], probs: list
     each group.  Exact mode runs the same bounded selection on (group, column)
     keys; it is meant for low-cardinality groups (e.g. the class label), whose
     keys travel through the driver as fit state."""
-    keep = [F.col(b) for b in by]
-    lv0 = df.select(*keep, F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_ci"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("_x"))
-        for i, c in enumerate(cols)]))).where(F.col("_x").isNotNull())
-    key = F.to_json(F.struct(*keep, F.col("_ci")))
+    lv = long_values(df, cols, by)
     if method != "exact":
-        q = lv0.groupBy(*by, "_ci").agg(quantile_expr("_x", probs, method).alias("_q"))
+        q = lv.groupBy(*by, "_c").agg(quantile_expr("_x", probs, method).alias("_q"))
         names = F.array(*[F.lit(c) for c in cols])
-        return q.select(*by, F.element_at(names, F.col("_ci") + 1).alias("column"), "_q")
-    lv = lv0.select(key.alias("_c"), "_x")
-    st_rows = lv0.withColumn("_c", key).groupBy("_c", *by, "_ci").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).collect()
-    stats = {r["_c"]: {"n": r["n"], "lo": r["lo"], "hi": r["hi"]} for r in st_rows}
-    targets, pos = _interp_targets(stats, probs)
-    vals = _order_stats(lv, targets, {c: (r["lo"], r["hi"]) for c, r in stats.items() if r["n"] > 0},
-                        key_type="string")
-    qv = _interpolate(vals, pos)
-    rows = [tuple(r[b] for b in by) + (cols[r["_ci"]], [qv[(r["_c"], j)] for j in range(len(probs))])
-            for r in st_rows if r["n"] > 0]
+        return q.select(*by, F.element_at(names, F.col("_c") + 1).alias("column"), "_q")
+    keyed = lv.select(*by, F.col("_c").alias("_ci"), F.to_json(F.struct(*by, "_c")).alias("_c"), "_x")
+    first = {r["_c"]: r for r in _whole(keyed, ["_c", *by, "_ci"], GRID)}
+    qv = _selected(keyed.select("_c", "_x"), first, probs, "string", GRID)
+    rows = [tuple(r[b] for b in by) + (cols[r["_ci"]], [qv[(key, j)] for j in range(len(probs))])
+            for key, r in first.items()]
     fields = ", ".join(f"`{b}` {df.schema[b].dataType.simpleString()}" for b in by)
     schema = (fields + ", " if fields else "") + "column string, _q array<double>"
     return df.sparkSession.createDataFrame(rows, schema)

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import nan_to_null
 from .quantiles import quantiles
 
 
 def fit_standard(df: DataFrame, cols: list[str]) -> DataFrame:
     """One row ``{c}__center`` (mean), ``{c}__scale`` (population std; 0 -> 1)."""
+    df = nan_to_null(df, cols)
     agg = df.agg(*[e for c in cols for e in (F.avg(c).alias(f"{c}__center"), F.stddev_pop(c).alias(f"_{c}_sd"))])
     return agg.select(*[e for c in cols for e in (
         F.col(f"{c}__center"),

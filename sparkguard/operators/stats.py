@@ -2,12 +2,15 @@
 histograms, densities, box-plot summaries."""
 from __future__ import annotations
 
+from math import factorial
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import LABEL, safe_div
+from .ranked import null_safe_join
 
 
 def hour_crosstab(df: DataFrame, hour: str = "Hour", label: str = LABEL) -> DataFrame:
@@ -87,10 +90,15 @@ def corr_lower_triangle(matrix: DataFrame) -> DataFrame:
     return matrix.where(F.col("ord_a") > F.col("ord_b"))
 
 
+def _present(c: str) -> Column:
+    """The column as double, NaN as NULL."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
 def _pair_corr(x: str, y: str) -> Column:
     """Pairwise-complete Pearson correlation; NULL when a variance is 0."""
-    a = F.when(F.col(y).isNotNull(), F.col(x).cast("double"))
-    b = F.when(F.col(x).isNotNull(), F.col(y).cast("double"))
+    xv, yv = _present(x), _present(y)
+    a, b = F.when(yv.isNotNull(), xv), F.when(xv.isNotNull(), yv)
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
@@ -170,52 +178,74 @@ def histogram(df: DataFrame, bins: dict[str, int], by: list[str] | None = None)
                                    F.col("_g") + 1).otherwise(F.col("_g")))
     counts = j.groupBy(*by, "column", "bin").agg(F.count(F.lit(1)).alias("count"))
     frame = params.withColumn("bin", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    if by:
-        frame = frame.crossJoin(long.select(*by).distinct())
+    if by:  # the groups, from the counts (bins x groups rows)
+        frame = frame.crossJoin(F.broadcast(counts.select(*by).distinct()))
     frame = frame.select(*by, "column", "bin", edge(F.col("bin")).alias("lo_edge"),
                          edge(F.col("bin") + 1).alias("hi_edge"))
-    return frame.join(counts, [*by, "column", "bin"], "left").fillna(0, subset=["count"])
+    return null_safe_join(frame, counts, [*by, "column", "bin"], "left").fillna(0, subset=["count"])
 
 
-# Fixed values of the density view: Scott's rule, cut 3, 200 grid points;
-# data are pre-binned on KDE_BINS equal bins (bounded work per column).
+# Fixed values of the density view: Scott's rule, cut 3, 200 grid points.
 KDE_GRID = 200
 KDE_CUT = 3.0
-KDE_BINS = 4096
+KDE_ORDER = 8       # moments kept per cell of a quarter bandwidth
+KDE_REACH = 8.0     # bandwidths beyond which exp(-z^2 / 2) < 1.3e-14 is left out
+
+
+def _hermite(z: Column, order: int) -> list[Column]:
+    """Probabilists' Hermite polynomials He_0..He_order of ``z`` (three-term recurrence)."""
+    h = [F.lit(1.0), z]
+    for k in range(1, order):
+        h.append(z * h[k] - F.lit(float(k)) * h[k - 1])
+    return h
 
 
 def kde(df: DataFrame, cols: list[str], by: list[str] | None = None, gridsize: int = KDE_GRID,
-        cut: float = KDE_CUT, nbins: int = KDE_BINS, only: DataFrame | None = None) -> DataFrame:
+        cut: float = KDE_CUT, only: DataFrame | None = None) -> DataFrame:
     """Gaussian density ``(by..., column, grid_idx, x, density)``.
 
     Bandwidth = sample std x n^(-1/5) (Scott), grid = linspace(min - cut*bw,
-    max + cut*bw, gridsize).  Data are counted on ``nbins`` equal bins and each
-    bin contributes at its centre, so the work is grid x bins per column,
-    independent of the row count."""
+    max + cut*bw, gridsize).  Rows are summed up in cells a quarter of the
+    bandwidth wide, as moments of their offset from the cell's centre; the
+    kernel's Taylor series in these moments gives each grid point the sum over
+    the rows to about 1e-11 of the kernel's peak, whatever their number.  A cell serves only the grid
+    points within ``KDE_REACH`` bandwidths.  Infinite values are left out."""
     by = list(by or [])
-    long = _long(df, cols, by, only)
+    long = _long(df, cols, by, only).where(F.abs("x") < np.inf)
     keys = [*by, "column"]
     st = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
                                  F.min("x").alias("mn"), F.max("x").alias("mx"))
-    st = st.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    st = st.withColumn("w", (F.col("mx") - F.col("mn")) / nbins)
-    b = F.when(F.col("w") > 0, F.least(F.lit(nbins - 1), F.floor((F.col("x") - F.col("mn")) / F.col("w")))) \
-        .otherwise(F.lit(0)).cast("int")
-    binned = (long.join(F.broadcast(st.select(*keys, "mn", "w")), keys)
-              .groupBy(*keys, b.alias("kb")).agg(F.count(F.lit(1)).alias("k")))
-    lo = F.col("mn") - F.lit(cut) * F.col("bw")
-    hi = F.col("mx") + F.lit(cut) * F.col("bw")
-    grid = st.where(F.col("bw") > 0).select(
-        *keys, "n", "bw", "mn", "w", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("grid_idx"),
-        lo.alias("_lo"), hi.alias("_hi"))
-    grid = grid.withColumn("gx", F.when(F.col("grid_idx") == gridsize - 1, F.col("_hi")).otherwise(
-        F.col("grid_idx") * ((F.col("_hi") - F.col("_lo")) / (gridsize - 1)) + F.col("_lo")))
-    centre = F.col("mn") + (F.col("kb") + 0.5) * F.col("w")
-    z = (F.col("gx") - centre) / F.col("bw")
-    term = F.col("k") * F.exp(-0.5 * z * z)
-    dens = grid.join(binned, keys).groupBy(*keys, "grid_idx", "gx", "n", "bw").agg(F.sum(term).alias("_s"))
-    return dens.select(*keys, "grid_idx", F.col("gx").alias("x"),
-                       (F.col("_s") / (F.col("n") * F.col("bw") * F.lit(float(np.sqrt(2 * np.pi))))).alias("density"))
+    st = st.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).where(F.col("bw") > 0)
+    st = st.withColumns({"g_lo": F.col("mn") - cut * F.col("bw"), "g_hi": F.col("mx") + cut * F.col("bw")}) \
+           .withColumn("step", (F.col("g_hi") - F.col("g_lo")) / (gridsize - 1))
+    offset = (F.col("x") - F.col("mn")) / F.col("bw")          # in bandwidths
+    cell = F.floor(offset * 4)
+    j = null_safe_join(long, st.select(*keys, "mn", "bw"), keys).select(
+        *keys, cell.alias("cell"), (offset - (cell + 0.5) / 4).alias("t"))
+    powers = [F.lit(1.0)]
+    for _ in range(KDE_ORDER):
+        powers.append(powers[-1] * F.col("t"))
+    cells = j.groupBy(*keys, "cell").agg(*[F.sum(p).alias(f"m{k}") for k, p in enumerate(powers)])
+    cells = null_safe_join(cells, st, keys)
+    centre = F.col("mn") + (F.col("cell") + 0.5) / 4 * F.col("bw")
+    first = F.greatest(F.lit(0), F.floor((centre - KDE_REACH * F.col("bw") - F.col("g_lo")) / F.col("step")))
+    last = F.least(F.lit(gridsize - 1), F.ceil((centre + KDE_REACH * F.col("bw") - F.col("g_lo")) / F.col("step")))
+    near = cells.withColumn("grid_idx", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+
+    def grid_x(i: Column) -> Column:
+        return F.when(i == gridsize - 1, F.col("g_hi")).otherwise(i * F.col("step") + F.col("g_lo"))
+
+    near = near.withColumn("z", (grid_x(F.col("grid_idx")) - centre) / F.col("bw"))
+    he = _hermite(F.col("z"), KDE_ORDER)
+    series = F.lit(0.0)
+    for k in range(KDE_ORDER + 1):
+        series = series + F.col(f"m{k}") * he[k] * F.lit(1.0 / factorial(k))
+    dens = near.groupBy(*keys, "grid_idx").agg(F.sum(F.exp(-0.5 * F.col("z") * F.col("z")) * series).alias("s"))
+    grid = st.withColumn("grid_idx", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))))
+    out = null_safe_join(grid, dens, [*keys, "grid_idx"], "left")
+    norm = F.col("n") * F.col("bw") * F.lit(float(np.sqrt(2 * np.pi)))
+    return out.select(*keys, "grid_idx", grid_x(F.col("grid_idx")).alias("x"),
+                      (F.greatest(F.lit(0.0), F.coalesce("s", F.lit(0.0))) / norm).alias("density"))
 
 
 def boxplot_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, method: str = "exact",
@@ -235,25 +265,23 @@ def boxplot_stats(df: DataFrame, cols: list[str], by: list[str] | None = None, m
     q = q.select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     q = q.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    j = long.join(F.broadcast(q), keys)
-    agg = j.groupBy(*keys).agg(
+    agg = null_safe_join(long, q, keys).groupBy(*keys).agg(
         F.min(F.when(F.col("x") >= F.col("_lo"), F.col("x"))).alias("_wl"),
         F.max(F.when(F.col("x") <= F.col("_hi"), F.col("x"))).alias("_wh"),
+        F.count_if((F.col("x") < F.col("_lo")) | (F.col("x") > F.col("_hi"))).alias("fliers"),
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"))
-    out = agg.select(*keys, "q1", "median", "q3", F.coalesce("_wl", "q1").alias("whisker_lo"),
-                     F.coalesce("_wh", "q3").alias("whisker_hi"))
-    fl = long.join(F.broadcast(out.select(*keys, "whisker_lo", "whisker_hi")), keys).groupBy(*keys).agg(
-        F.count_if((F.col("x") < F.col("whisker_lo")) | (F.col("x") > F.col("whisker_hi"))).alias("fliers"))
-    return out.join(fl, keys).select(*keys, "q1", "median", "q3", "whisker_lo", "whisker_hi", "fliers")
+    return agg.select(*keys, "q1", "median", "q3", F.coalesce("_wl", "q1").alias("whisker_lo"),
+                      F.coalesce("_wh", "q3").alias("whisker_hi"), "fliers")
 
 
 def grouped_describe(df: DataFrame, col: str, by: list[str], method: str = "exact") -> DataFrame:
     """count, mean, std (n-1), min, quartiles, max of ``col`` per group."""
     from .quantiles import grouped_quantiles
-    g = df.groupBy(*by).agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
-                            F.min(col).cast("double").alias("min"), F.max(col).cast("double").alias("max"))
+    x = _present(col)
+    g = df.groupBy(*by).agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                            F.min(x).alias("min"), F.max(x).alias("max"))
     q = grouped_quantiles(df, by, [col], [0.25, 0.5, 0.75], method).drop("column")
-    return g.join(F.broadcast(q), by, "left").select(
+    return null_safe_join(g, q, by, "left").select(
         *by, "count", "mean", "std", "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
         F.col("_q")[2].alias("q75"), "max")
 

@@ -289,3 +289,16 @@ def _():
     return with_fixtures(rounded("SELECT *, CASE WHEN y_pred = 1 THEN 'FP' ELSE 'FN' END AS error FROM scored_p "
                                  "WHERE y_true <> y_pred", ["model", "id", "y_true", "y_prob", "y_pred", "error"],
                                  ["y_prob"]))
+
+
+@oracle("evaluate_pipeline")
+def _():
+    f1 = _best("f1", f"SELECT model, threshold, {metrics_select(['f1'])} FROM gc")
+    f2 = _best("f2", f"SELECT model, threshold, {metrics_select(['f2'])} FROM gc")
+    body = (f"SELECT comp.model, comp.f1, comp.roc_auc, comp.avg_precision, a.threshold AS best_f1_threshold, "
+            f"b.threshold AS best_f2_threshold, c.threshold AS best_cost_threshold, c.total_cost AS best_net_benefit "
+            f"FROM comp JOIN ({f1}) a USING (model) JOIN ({f2}) b USING (model) "
+            f"JOIN ({_best('total_cost', COST_SRC)}) c USING (model)")
+    cols = ["model", "f1", "roc_auc", "avg_precision", "best_f1_threshold", "best_f2_threshold",
+            "best_cost_threshold", "best_net_benefit"]
+    return with_fixtures(rounded(body, cols, cols[1:]), *COMP, *grid_counts_cte(SWEEP))

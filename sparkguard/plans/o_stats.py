@@ -112,27 +112,27 @@ def _():
 
 
 def kde_ctes(cols, by: bool, only: str | None):
+    """The Gaussian summed over the rows themselves, without cells."""
     grp = "_cls, " if by else ""
     sel = f" WHERE \"column\" IN (SELECT \"column\" FROM {only})" if only else ""
     ctes = [long_cte("lk0", cols), f"lk AS (SELECT * FROM lk0{sel})",
             f"st AS (SELECT {grp}\"column\", count(*) AS n, stddev_samp(x) AS sd, min(x) AS mn, max(x) AS mx "
             "FROM lk GROUP BY ALL)",
-            "st2 AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw, (mx - mn) / 4096 AS w FROM st)",
-            f"bn AS (SELECT {'l._cls, ' if by else ''}l.\"column\", CAST(CASE WHEN w > 0 THEN least(4095, floor((x - mn) / w)) "
-            f"ELSE 0 END AS INTEGER) AS kb, count(*) AS k FROM lk l JOIN st2 USING ({grp}\"column\") GROUP BY ALL)",
+            "st2 AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw FROM st)",
             "gr AS (SELECT *, unnest(generate_series(0, 199)) AS grid_idx, mn - 3.0 * bw AS _lo, mx + 3.0 * bw AS _hi "
             "FROM st2 WHERE bw > 0)",
             "gr2 AS (SELECT *, CASE WHEN grid_idx = 199 THEN _hi ELSE grid_idx * ((_hi - _lo) / 199) + _lo END AS gx FROM gr)"]
-    z = "((g.gx - (g.mn + (b.kb + 0.5) * g.w)) / g.bw)"
+    z = "((g.gx - l.x) / g.bw)"
     body = (f"SELECT {'g._cls AS Class, ' if by else ''}g.\"column\", g.grid_idx, g.gx AS x, "
-            f"sum(b.k * exp(-0.5 * {z} * {z})) / (first(g.n) * first(g.bw) * {math.sqrt(2 * math.pi)!r}) AS density "
-            f"FROM gr2 g JOIN bn b USING ({grp}\"column\") GROUP BY ALL")
+            f"sum(exp(-0.5 * {z} * {z})) / (first(g.n) * first(g.bw) * {math.sqrt(2 * math.pi)!r}) AS density "
+            f"FROM gr2 g JOIN lk l USING ({grp}\"column\") GROUP BY ALL")
     return ctes, body
 
 
 @oracle("kde")
 def _():
     ctes, body = kde_ctes(KDE_COLS, False, None)
+    body = f'SELECT "column", grid_idx, x, round(density, 5) AS density FROM ({body})'
     return with_fixtures(rounded(body, ["column", "grid_idx", "x", "density"], ["x", "density"]), EDA, *ctes)
 
 

@@ -5,6 +5,9 @@ built once per session and data directory (checkpointed) and shared.
 """
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import explain as X
@@ -42,17 +45,24 @@ def tuned_lr(spark, d):
     return _memo(spark, d, "tuned_lr", lambda: ML.random_search_cv(tr, feats, "logistic_regression", n_iter=10))
 
 
-def fitted_tree(spark, d):
-    """The gradient-boosted tree model (fitted once per session) used by the
-    importance and attribution queries."""
+def base_model(spark, d, model):
+    """A base model with the scored test rows, fitted once per session and data set."""
     tr, te, feats = split(spark, d)
-    return _memo(spark, d, "gbt", lambda: ML.fit_model(tr, feats, "gradient_boosting"))
+    return _memo(spark, d, f"base:{model}", lambda: ML.train_all_base(tr, te, feats, [model]))
+
+
+def fitted_tree(spark, d):
+    """The gradient-boosted tree model used by the importance and attribution queries."""
+    return base_model(spark, d, "gradient_boosting")[0]["gradient_boosting"]
 
 
 def _fit_score(spark, d, model):
-    tr, te, feats = split(spark, d)
-    fitted = fitted_tree(spark, d) if model == "gradient_boosting" else ML.fit_model(tr, feats, model)
-    return ML.score(fitted, te, feats, model)
+    return base_model(spark, d, model)[1]
+
+
+def all_scored(spark, d):
+    """Test rows scored by the five base models."""
+    return reduce(DataFrame.unionByName, [_fit_score(spark, d, m) for m in ML.MODEL_NAMES])
 
 
 @query("fit_logistic")
@@ -82,16 +92,12 @@ def fit_gbt_leafwise_q(spark, d):
 
 @query("score_models")
 def score_models_q(spark, d):
-    tr, te, feats = split(spark, d)
-    _, scored = ML.train_all_base(tr, te, feats, ["logistic_regression", "random_forest"])
-    return scored
+    return all_scored(spark, d)
 
 
 @query("train_all_base")
 def train_all_base_q(spark, d):
-    tr, te, feats = split(spark, d)
-    _, scored = ML.train_all_base(tr, te, feats)
-    return M.model_comparison(scored)
+    return M.model_comparison(all_scored(spark, d))
 
 
 @query("random_search_cv")
@@ -105,7 +111,7 @@ def random_search_cv_q(spark, d):
 @query("base_vs_tuned")
 def base_vs_tuned_q(spark, d):
     tr, te, feats = split(spark, d)
-    base = ML.score(ML.fit_model(tr, feats, "logistic_regression"), te, feats, "logistic_regression")
+    base = _fit_score(spark, d, "logistic_regression")
     refit, best, _ = tuned_lr(spark, d)
     tuned = ML.score(refit, te, feats, "logistic_regression")
     return M.model_comparison(base).withColumn("stage", F.lit("base")).unionByName(

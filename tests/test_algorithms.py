@@ -29,19 +29,36 @@ def _np_q(x, p):
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
 
 
-@pytest.mark.parametrize("buckets,finish", [(Q.BUCKETS, Q.FINISH_ROWS), (4, 3)])
-def test_exact_quantiles_match_numpy(spark, monkeypatch, buckets, finish):
-    monkeypatch.setattr(Q, "BUCKETS", buckets)
-    monkeypatch.setattr(Q, "FINISH_ROWS", finish)  # (4, 3) forces many refinement passes
+@pytest.mark.parametrize("grid,finish", [(Q.GRID, Q.FINISH_ROWS), (16, 3)])
+def test_exact_quantiles_match_numpy(spark, monkeypatch, grid, finish):
+    monkeypatch.setattr(Q, "FINISH_ROWS", finish)  # 3 forces many brackets
     df = _frame(spark)
     pdf = df.toPandas()
-    vals = Q.exact_quantile_values(df, ["a", "b", "t"], PROBS, buckets=buckets)
+    vals = Q.exact_quantile_values(df, ["a", "b", "t"], PROBS, grid=grid)
     for ci, c in enumerate(["a", "b", "t"]):
         exp = _np_q(list(pdf[c]), PROBS)
         got = [vals[(ci, j)] for j in range(len(PROBS))]
         assert np.allclose(got, exp, rtol=1e-12, atol=1e-12), (c, got, exp)
 
 
+@pytest.mark.parametrize("finish", [Q.FINISH_ROWS, 50])
+def test_exact_quantiles_with_infinities_and_huge_ranges(spark, monkeypatch, finish):
+    monkeypatch.setattr(Q, "FINISH_ROWS", finish)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=1000) * 10.0 ** rng.integers(-300, 300, 1000)
+    x[:50], x[50:120] = -np.inf, np.inf
+    df = spark.createDataFrame([(float(v), 1.7e308 * (-1) ** i) for i, v in enumerate(x)], "x double, y double")
+    probs = [0.0, 0.02, 0.25, 0.5, 0.75, 0.99, 1.0]
+    vals = Q.exact_quantile_values(df, ["x", "y"], probs, grid=16)
+    s = np.sort(x)
+    for j, p in enumerate(probs):
+        pos = (len(s) - 1) * p
+        a, b = s[int(np.floor(pos))], s[int(np.ceil(pos))]
+        exp = a if a == b else (np.ceil(pos) - pos) * a + (pos - np.floor(pos)) * b
+        assert vals[(0, j)] == exp or np.isclose(vals[(0, j)], exp, rtol=1e-12), (p, vals[(0, j)], exp)
+    assert vals[(1, 0)] == -1.7e308 and vals[(1, 6)] == 1.7e308
+
+
 def test_grouped_quantiles_match_numpy(spark):
     df = _frame(spark)
     pdf = df.toPandas()
