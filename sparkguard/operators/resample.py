@@ -21,6 +21,7 @@ from ..session import cut_lineage, ensure_checkpoint_dir
 K_NEIGHBORS = 5
 SEED = 42
 INITIAL_WINDOW = 16
+COPY_BLOCK = 10_000     # synthetic rows made from one base row in one task
 
 
 def _direction(d: int, seed: int = SEED) -> list[float]:
@@ -117,7 +118,7 @@ def smote(df: DataFrame, features: list[str], label: str = LABEL, key: str = ID,
     """Balance the minority class up to the majority count (binary label).
 
     Returns the input rows plus synthetic minority rows, with ``synthetic``
-    (boolean); synthetic rows get negative ids."""
+    (boolean); synthetic rows get negative ids below every given one."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     cc = counts.orderBy("_n").collect()  # two rows: the class sizes decide the plan
     if len(cc) < 2:
@@ -135,17 +136,24 @@ def smote(df: DataFrame, features: list[str], label: str = LABEL, key: str = ID,
     r = ranked(mino, md5_key(key, seed, "smote"), key, [])
     per, extra = n_new // n_min, n_new % n_min
     copies = F.lit(per) + (F.col("_rank") <= F.lit(extra)).cast("long")
-    gen = (r.withColumn("j", F.explode(F.sequence(F.lit(0), copies - 1)))
-            .where(copies > 0)
+    # each base row's k neighbours, then its copies in blocks over the cluster: a few base rows may make most rows
+    nbs = (nn.select(key, "k_idx", "nb_id").join(mino.select(F.col(key).alias("nb_id"), F.col("v").alias("nv")), ["nb_id"])
+           .groupBy(key).agg(F.array_sort(F.collect_list(F.struct("k_idx", "nv"))).alias("nbs")))  # k per row
+    gen = (r.join(nbs, [key]).withColumn("copies", copies).where(F.col("copies") > 0)
+           .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1,
+                                                     F.lit(COPY_BLOCK).cast("long")))))
+    if n_new > COPY_BLOCK:
+        gen = gen.repartition(key, "block")
+    gen = (gen.withColumn("j", F.explode(F.sequence("block", F.least(F.col("block") + COPY_BLOCK, F.col("copies")) - 1)))
             .withColumn("k_idx", (F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("j"), F.lit("nn")), F.lit(k)) + 1)
                         .cast("int"))
             .withColumn("step", F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("j"), F.lit("step")),
                                        F.lit(1 << 53)).cast("double") / float(1 << 53)))
-    gen = gen.join(nn.select(key, "k_idx", "nb_id"), [key, "k_idx"])
-    nbv = mino.select(F.col(key).alias("nb_id"), F.col("v").alias("nv"))
-    gen = gen.join(nbv, ["nb_id"])
-    newv = F.zip_with(F.col("v"), F.col("nv"), lambda x, y: x + F.col("step") * (y - x))
-    syn = gen.select((-(F.col(key) * F.lit(per + 2) + F.col("j")) - 1).alias(key), newv.alias("_nv"))
+    newv = F.zip_with(F.col("v"), F.element_at("nbs", F.col("k_idx"))["nv"], lambda x, y: x + F.col("step") * (y - x))
+    # new ids count down from the least id (or 0), so they meet neither each other nor a given id
+    low = df.agg(F.least(F.lit(0).cast("long"), F.min(key)).alias("_low"))
+    syn = gen.crossJoin(F.broadcast(low)).select(
+        (F.col("_low") - 1 - (F.col("_rank") - 1) * F.lit(per + 1) - F.col("j")).alias(key), newv.alias("_nv"))
     syn = syn.select(key, *[F.col("_nv")[i].cast(df.schema[c].dataType).alias(c) for i, c in enumerate(features)])
     fill = {c: F.lit(None).cast(df.schema[c].dataType) for c in df.columns if c not in features and c not in (key, label)}
     syn = syn.withColumns({label: F.lit(minority).cast(df.schema[label].dataType), **fill,

@@ -2,7 +2,7 @@
 apply with one projection (broadcast one row)."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null
@@ -49,6 +49,17 @@ def scaler_params(params: DataFrame, cols: list[str]) -> DataFrame:
                  F.col(f"{c}__scale").alias("scale")) for i, c in enumerate(cols)])))
 
 
+def save_params(params: DataFrame, path: str) -> str:
+    """Write a fitted parameter frame (one row) as Parquet."""
+    params.write.mode("overwrite").parquet(path)
+    return path
+
+
+def load_params(spark: SparkSession, path: str) -> DataFrame:
+    """A stored fit, for ``apply_scaler`` in a later batch or stream."""
+    return spark.read.parquet(path)
+
+
 def scale_split(df: DataFrame, cols: list[str], kind: str = "standard", split_col: str = "split",
                 fit_split: str = "train") -> tuple[DataFrame, DataFrame]:
     """Fit on the ``fit_split`` rows, apply to every row.  Returns (scaled, params)."""

@@ -9,6 +9,7 @@ DIRTY_DOUBLES = set(FEATURE_COLS)
 NUMERIC_NO_ID = [*FEATURE_COLS, "Class"]
 
 
+@oracle("load_transactions_csv")
 @oracle("load_transactions")
 def _():
     return with_fixtures(rounded("SELECT * FROM transactions", TX_COLS, FEATURE_COLS))

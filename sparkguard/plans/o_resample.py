@@ -25,6 +25,7 @@ def scaled_body():
     return "SELECT id, split, " + ", ".join(f"({c} - {c}_c) / {c}_s AS {c}" for c in FEATURE_COLS) + " FROM sp, pm"
 
 
+@oracle("stored_scaler")
 @oracle("standard_scale")
 def _():
     return with_fixtures(rounded(scaled_body(), ["id", "split", *FEATURE_COLS], FEATURE_COLS), *SPLIT_CTES, TR,

@@ -1,9 +1,14 @@
 """Queries for sources, profiling and data quality."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..functions.columns import FEATURE_COLS, LABEL
 from ..operators import profile as P
+from ..session import shared_dir
+from ..sources import load_transactions
 from .registry import dirty, query, tx
 
 
@@ -12,6 +17,15 @@ def load_transactions_q(spark, d):
     return tx(spark, d)
 
 
+@query("load_transactions_csv")
+def load_transactions_csv_q(spark, d):
+    """The transactions written as CSV and read back with their key."""
+    path = shared_dir(spark, f"transactions-{uuid.uuid4().hex}.csv")
+    t = tx(spark, d)
+    t.select("id", *FEATURE_COLS, LABEL).write.csv(path, header=True)
+    return load_transactions(spark, path, key="id").select(*t.columns)
+
+
 @query("dataset_shape_types")
 def dataset_shape_types_q(spark, d):
     return P.dataset_shape(dirty(spark, d))

@@ -4,6 +4,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import FEATURE_COLS, ID, LABEL
@@ -19,26 +20,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def load_transactions_csv(spark: SparkSession, path: str, with_id: bool = True) -> DataFrame:
+def load_transactions_csv(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
     """Raw CSV with header (Time, V1..V28, Amount, Class) read with an explicit
-    schema.  ``id`` is added from the file position (monotonically increasing,
-    unique, stable for one read of a file split)."""
-    from pyspark.sql import functions as F
-    df = (spark.read.schema(TRANSACTIONS_SCHEMA)
-          .option("header", True).option("mode", "FAILFAST").csv(path))
-    if with_id:
-        df = df.withColumn(ID, F.monotonically_increasing_id())
-        df = df.select(ID, *[c for c in df.columns if c != ID])
-    return df
-
-
-def load_transactions(spark: SparkSession, path: str) -> DataFrame:
+    schema.  ``key`` names a first column that holds a unique long; it becomes
+    ``id``, and seeded splits and samples then don't depend on the cluster.
+    Without one ``id`` comes from the file position (unique, and stable only
+    for the same file splits)."""
+    schema = T.StructType([T.StructField(key, T.LongType(), False)] * (key is not None) + TRANSACTIONS_SCHEMA.fields)
+    df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    if key is not None:
+        return df.withColumnRenamed(key, ID)
+    return df.select(F.monotonically_increasing_id().alias(ID), "*")
+
+
+def load_transactions(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
     """Load a transactions table (parquet directory/file or CSV), lazily.
 
-    Existence is checked; the row count is not taken eagerly (a count is one
-    more job; ``dataset_shape`` reports it on demand)."""
-    if not os.path.exists(path) and "://" not in path:
-        raise FileNotFoundError(path)
-    if path.endswith(".csv"):
-        return load_transactions_csv(spark, path)
+    The path may be on any Hadoop file system; Spark raises if it isn't there.
+    The row count is not taken (a count is one more job; ``dataset_shape``
+    reports it on demand)."""
+    if path.rstrip("/").endswith(".csv"):
+        return load_transactions_csv(spark, path, key)
     return spark.read.parquet(path)
