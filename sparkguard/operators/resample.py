@@ -1,17 +1,25 @@
 """SMOTE oversampling as Spark jobs.
 
-k nearest neighbours among the minority rows are found *exactly* without
-emitting all pairs: rows are ranked along the principal direction u; each row
-compares with the W rows on either side of its rank.  Any row outside that
-window is at least the projection gap away (|u.(a-b)| <= |a-b|), so a row
-whose k-th candidate distance is below both gaps is final; the others retry
-with 2W.  Synthetic rows are x + s (x_nn - x), base rows assigned round-robin
-and neighbour / step drawn from hashes of (seed, id, copy): deterministic and
+k nearest neighbours among the minority rows are found *exactly* and no pair
+becomes a row: rows are ranked along the principal direction u and packed in
+blocks of ``BLOCK`` consecutive ranks.  A pass compares blocks with blocks in
+numpy and keeps at most k candidates per row and block.  It starts with a
+row's own block and doubles the reach; a row outside the reach is at least the
+projection gap away (|u.(a-b)| <= |a-b|), so a row whose k-th distance is
+below both gaps is final and leaves.  Where no gap certifies (scaled rows of
+many dimensions) all block pairs are compared: the arithmetic is quadratic
+then, memory and rows are not.
+
+Synthetic rows are x + s (x_nn - x), base rows assigned round-robin and
+neighbour / step drawn from hashes of (seed, id, copy): deterministic and
 restart-safe.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +28,7 @@ from ..session import cut_lineage, ensure_checkpoint_dir
 
 K_NEIGHBORS = 5
 SEED = 42
-INITIAL_WINDOW = 16
+BLOCK = 1024            # rows of a block; a task holds two blocks and 256 x BLOCK distances
 COPY_BLOCK = 10_000     # synthetic rows made from one base row in one task
 
 
@@ -29,10 +37,6 @@ def _direction(d: int, seed: int = SEED) -> list[float]:
     return [float(x) for x in v / np.linalg.norm(v)]
 
 
-def _sqdist(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, x: acc + x)
-
-
 def principal_direction(points: DataFrame, d: int, seed: int = SEED) -> list[float]:
     """Unit vector of largest variance of the points (top eigenvector of the
     d x d covariance, itself one distributed Gram-sum job).  Projection gaps
@@ -66,66 +70,116 @@ def _ranked_points(points: DataFrame, d: int, seed: int) -> DataFrame:
             .select(ID, "v", "proj", (F.col("_off") + F.col("_rn") - 1).alias("r")))
 
 
-def knn_minority(points: DataFrame, k: int = K_NEIGHBORS, seed: int = SEED,
-                 initial_window: int = INITIAL_WINDOW) -> DataFrame:
+def _nearest(q: np.ndarray, q_rank: np.ndarray, bound: np.ndarray, c: np.ndarray, c_rank: np.ndarray,
+             c_id: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(query row, candidate ids, squared distances): per row of ``q`` at most k rows of ``c``, by (distance, id),
+    that are no farther than the row's ``bound``; a row is not its own neighbour."""
+    for at in range(0, len(q), 256):
+        some = q[at:at + 256]
+        dist = np.zeros((len(some), len(c)))
+        for f in range(q.shape[1]):
+            dist += np.square(some[:, f, None] - c[None, :, f])
+        dist[q_rank[at:at + 256, None] == c_rank[None, :]] = np.inf
+        kth = np.partition(dist, min(k, len(c)) - 1, axis=1)[:, min(k, len(c)) - 1]
+        near = (dist <= np.minimum(kth, bound[at:at + 256])[:, None]) & np.isfinite(dist)
+        for i in np.flatnonzero(near.any(axis=1)):
+            j = np.flatnonzero(near[i])
+            j = j[np.lexsort((c_id[j], dist[i, j]))[:k]]
+            yield at + i, c_id[j], dist[i, j]
+
+
+def _compare_blocks(d: int, k: int):
+    """mapInArrow over rows (q_id, q_v, q_r, bound, c_id, c_v, c_r), one per block pair -> (id, nb_id, dist2)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in range(len(batch)):
+                row = {c: batch.column(c)[n].values.to_numpy(zero_copy_only=False) for c in batch.schema.names}
+                found = list(_nearest(row["q_v"].reshape(-1, d), row["q_r"], row["bound"], row["c_v"].reshape(-1, d),
+                                      row["c_r"], row["c_id"], k))
+                if found:
+                    ids = np.repeat(row["q_id"][[i for i, _, _ in found]], [len(j) for _, j, _ in found])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids, pa.int64()), pa.array(np.concatenate([j for _, j, _ in found]), pa.int64()),
+                         pa.array(np.concatenate([x for _, _, x in found]), pa.float64())], ["id", "nb_id", "dist2"])
+    return run
+
+
+def knn_minority(points: DataFrame, k: int = K_NEIGHBORS, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     """Exact k nearest neighbours: ``(id, k_idx, nb_id, dist2)`` with k_idx
     1..k ordered by (squared distance, neighbour id).  ``points`` has ``id``
     and ``v`` (array<double>)."""
-    spark = points.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(points.sparkSession)
     d = len(points.select("v").first()["v"])
-    pts = cut_lineage(_ranked_points(points, d, seed), "knn-points")
+    pts = cut_lineage(_ranked_points(points, d, seed).withColumn("b", F.expr(f"r div {block}")), "knn-points")
     m = pts.count()  # parquet metadata
     if m <= k:
         raise ValueError(f"SMOTE needs more than k={k} minority rows, got {m}")
-    todo = pts.select(ID, "v", "proj", "r")
-    done = None
-    w = max(initial_window, k)   # each row must see k candidates even at the ends
+    last = (m - 1) // block
+    packed = F.array_sort(F.collect_list(F.struct("r", F.col(ID).alias("i"), "v")))    # `block` rows at most
+    blocks = cut_lineage(pts.groupBy("b").agg(packed.alias("p"), F.min("proj").alias("lo"), F.max("proj").alias("hi"))
+                         .select(F.col("b").alias("cb"), F.col("p.i").alias("c_id"), F.flatten("p.v").alias("c_v"),
+                                 F.col("p.r").alias("c_r"), "lo", "hi"), "knn-blocks")
+    none = F.array().cast("array<struct<dist2: double, nb_id: bigint>>")
+    todo, done, reach = pts.withColumn("top", none), None, -1
     while True:
-        # candidate pairs: ranks r +/- 1..W (never all pairs unless W reaches m)
-        off = spark.range(1, w + 1).select(F.col("id").cast("long").alias("_o"))
-        off = off.select(F.explode(F.array(F.col("_o"), -F.col("_o"))).alias("_o"))
-        cand = todo.crossJoin(F.broadcast(off)).withColumn("nr", F.col("r") + F.col("_o"))
-        other = pts.select(F.col(ID).alias("nb_id"), F.col("v").alias("nv"), F.col("r").alias("nr"))
-        pairs = cand.join(other, ["nr"]).select(ID, "nb_id", _sqdist(F.col("v"), F.col("nv")).alias("dist2"))
-        top = pairs.withColumn("k_idx", F.row_number().over(Window.partitionBy(ID).orderBy("dist2", "nb_id"))) \
-                   .where(F.col("k_idx") <= k)
-        kth = top.where(F.col("k_idx") == k).select(ID, F.col("dist2").alias("_dk"))
-        edges = pts.select(F.col("r").alias("er"), F.col("proj").alias("eproj"))
-        chk = (todo.select(ID, "r", "proj").join(kth, [ID])
-               .join(edges.withColumnRenamed("er", "_lo_r").withColumnRenamed("eproj", "_lo_p"),
-                     F.col("_lo_r") == F.col("r") - (w + 1), "left")
-               .join(edges.withColumnRenamed("er", "_hi_r").withColumnRenamed("eproj", "_hi_p"),
-                     F.col("_hi_r") == F.col("r") + (w + 1), "left"))
-        gap_lo = F.col("proj") - F.col("_lo_p")
-        gap_hi = F.col("_hi_p") - F.col("proj")
-        ok = ((F.col("_lo_p").isNull() | (gap_lo * gap_lo > F.col("_dk")))
-              & (F.col("_hi_p").isNull() | (gap_hi * gap_hi > F.col("_dk"))))
-        # one pass writes candidates with their certification flag
-        res = cut_lineage(top.join(chk.select(ID, ok.alias("_ok")), [ID]), "knn-pass")
-        good = res.where("_ok").select(ID, "k_idx", "nb_id", "dist2")
+        # the blocks between the old reach and the new one, on both sides
+        new_reach = min(last, max(reach + 1, 2 * reach))
+        offs = _offsets(reach + 1, new_reach)
+        kth = F.when(F.size("top") == k, F.element_at("top", -1)["dist2"]).otherwise(F.lit(float("inf")))
+        held = F.collect_list(F.struct(F.col(ID).alias("i"), "v", "r", kth.alias("bound")))
+        queries = todo.groupBy("b").agg(held.alias("p")).select(
+            "b", F.col("p.i").alias("q_id"), F.flatten("p.v").alias("q_v"), F.col("p.r").alias("q_r"),
+            F.col("p.bound").alias("bound"))
+        pairs = (queries.select("*", F.explode(offs).alias("o")).withColumn("cb", F.col("b") + F.col("o"))
+                 .where(F.col("cb").between(0, last)).join(blocks.select("cb", "c_id", "c_v", "c_r"), ["cb"]))
+        found = pairs.select("q_id", "q_v", "q_r", "bound", "c_id", "c_v", "c_r").mapInArrow(
+            _compare_blocks(d, k), "id long, nb_id long, dist2 double")
+        old = todo.select(F.col(ID).alias("id"), F.inline("top")).select("id", "nb_id", "dist2")
+        w = Window.partitionBy("id").orderBy("dist2", "nb_id")
+        best = (found.unionByName(old).withColumn("k_idx", F.row_number().over(w)).where(F.col("k_idx") <= k)
+                .groupBy("id").agg(F.array_sort(F.collect_list(F.struct("dist2", "nb_id"))).alias("top")))
+        below = blocks.select((F.col("cb") + new_reach + 1).alias("b"), F.col("hi").alias("_below"))
+        above = blocks.select((F.col("cb") - new_reach - 1).alias("b"), F.col("lo").alias("_above"))
+        dk = F.element_at("top", -1)["dist2"]
+        ok = (F.size("top") == k) & (F.col("_below").isNull() | (F.pow(F.col("proj") - F.col("_below"), 2) > dk)) \
+            & (F.col("_above").isNull() | (F.pow(F.col("_above") - F.col("proj"), 2) > dk))
+        res = cut_lineage(todo.drop("top").join(best.withColumnRenamed("id", ID), [ID], "left")
+                          .join(below, ["b"], "left").join(above, ["b"], "left")
+                          .select(ID, "v", "proj", "r", "b", F.coalesce("top", none).alias("top"),
+                                  F.coalesce(ok, F.lit(False)).alias("_ok")), "knn-pass")
+        reach = new_reach
+        final = res if reach >= last else res.where("_ok")
+        good = final.select(ID, F.posexplode("top").alias("_p", "_t")).select(
+            ID, (F.col("_p") + 1).alias("k_idx"), F.col("_t.nb_id").alias("nb_id"), F.col("_t.dist2").alias("dist2"))
         done = good if done is None else done.unionByName(good)
-        todo = pts.join(res.where(~F.col("_ok")).select(ID).distinct(), [ID], "left_semi") \
-            .select(ID, "v", "proj", "r")
-        if w >= m or res.where(~F.col("_ok")).isEmpty():
-            break
-        w *= 2
-    return done
+        todo = res.where(~F.col("_ok")).drop("_ok")
+        if reach >= last or todo.isEmpty():
+            return done
+
+
+def _offsets(first: int, last: int) -> Column:
+    """The block offsets +-first..+-last (0 once)."""
+    up = F.sequence(F.lit(first), F.lit(last))
+    return F.array_distinct(F.concat(up, F.transform(up, lambda o: -o)))
 
 
 def smote(df: DataFrame, features: list[str], label: str = LABEL, key: str = ID, k: int = K_NEIGHBORS,
-          seed: int = SEED) -> DataFrame:
+          seed: int = SEED, parents: bool = False) -> DataFrame:
     """Balance the minority class up to the majority count (binary label).
 
     Returns the input rows plus synthetic minority rows, with ``synthetic``
-    (boolean); synthetic rows get negative ids below every given one."""
+    (boolean); synthetic rows get negative ids below every given one.  With
+    ``parents`` also ``base_id`` and ``nb_id``, the rows that a synthetic row
+    lies between (NULL for given rows)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     cc = counts.orderBy("_n").collect()  # two rows: the class sizes decide the plan
+    base = df.withColumn("synthetic", F.lit(False))
+    if parents:
+        base = base.withColumns({"base_id": F.lit(None).cast("long"), "nb_id": F.lit(None).cast("long")})
     if len(cc) < 2:
-        return df.withColumn("synthetic", F.lit(False))
+        return base
     minority, n_min, n_maj = cc[0][label], cc[0]["_n"], cc[-1]["_n"]
     n_new = n_maj - n_min
-    base = df.withColumn("synthetic", F.lit(False))
     if n_new == 0:
         return base
     mino = df.where(F.col(label) == minority).select(
@@ -138,7 +192,7 @@ def smote(df: DataFrame, features: list[str], label: str = LABEL, key: str = ID,
     copies = F.lit(per) + (F.col("_rank") <= F.lit(extra)).cast("long")
     # each base row's k neighbours, then its copies in blocks over the cluster: a few base rows may make most rows
     nbs = (nn.select(key, "k_idx", "nb_id").join(mino.select(F.col(key).alias("nb_id"), F.col("v").alias("nv")), ["nb_id"])
-           .groupBy(key).agg(F.array_sort(F.collect_list(F.struct("k_idx", "nv"))).alias("nbs")))  # k per row
+           .groupBy(key).agg(F.array_sort(F.collect_list(F.struct("k_idx", "nv", "nb_id"))).alias("nbs")))  # k per row
     gen = (r.join(nbs, [key]).withColumn("copies", copies).where(F.col("copies") > 0)
            .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1,
                                                      F.lit(COPY_BLOCK).cast("long")))))
@@ -153,8 +207,9 @@ def smote(df: DataFrame, features: list[str], label: str = LABEL, key: str = ID,
     # new ids count down from the least id (or 0), so they meet neither each other nor a given id
     low = df.agg(F.least(F.lit(0).cast("long"), F.min(key)).alias("_low"))
     syn = gen.crossJoin(F.broadcast(low)).select(
-        (F.col("_low") - 1 - (F.col("_rank") - 1) * F.lit(per + 1) - F.col("j")).alias(key), newv.alias("_nv"))
-    syn = syn.select(key, *[F.col("_nv")[i].cast(df.schema[c].dataType).alias(c) for i, c in enumerate(features)])
+        (F.col("_low") - 1 - (F.col("_rank") - 1) * F.lit(per + 1) - F.col("j")).alias(key), newv.alias("_nv"), F.col(key).alias("base_id"),
+        F.element_at("nbs", F.col("k_idx"))["nb_id"].alias("nb_id"))
+    syn = syn.select(key, "base_id", "nb_id", *[F.col("_nv")[i].cast(df.schema[c].dataType).alias(c) for i, c in enumerate(features)])
     fill = {c: F.lit(None).cast(df.schema[c].dataType) for c in df.columns if c not in features and c not in (key, label)}
     syn = syn.withColumns({label: F.lit(minority).cast(df.schema[label].dataType), **fill,
                            "synthetic": F.lit(True)})

@@ -59,14 +59,14 @@ def _():
 CAP_COLS = [*FEATURE_COLS, *ENG_DOUBLES]
 
 
-def _cap_ctes():
+def cap_ctes(src: str = "transactions"):
     q = ", ".join(f"quantile_cont({c}, 0.25) AS {c}_q1, quantile_cont({c}, 0.75) AS {c}_q3" for c in CAP_COLS)
     b = ", ".join(f"{c}_q1 - 1.5::DOUBLE * ({c}_q3 - {c}_q1) AS {c}_lo, {c}_q3 + 1.5::DOUBLE * ({c}_q3 - {c}_q1) AS {c}_hi"
                   for c in CAP_COLS)
     n = ", ".join(f"count(*) FILTER (WHERE {c} < {c}_lo OR {c} > {c}_hi) AS {c}_n" for c in CAP_COLS)
     p = ", ".join(f"{c}_n / n * 100 AS {c}_pct, ({c}_n > 0 AND {c}_n / n * 100 < 5.0::DOUBLE) AS {c}_cap"
                   for c in CAP_COLS)
-    return [eng_cte(), f"q AS (SELECT {q} FROM eng)", f"b AS (SELECT * , {b} FROM q)",
+    return [eng_cte(src), f"q AS (SELECT {q} FROM eng)", f"b AS (SELECT * , {b} FROM q)",
             f"n AS (SELECT count(*) AS n, {n} FROM eng, b)", f"p AS (SELECT *, {p} FROM n, b)"]
 
 
@@ -78,7 +78,7 @@ def _():
         return (f"CASE WHEN {c}_cap THEN (CASE WHEN {c} < {c}_lo THEN {c}_lo WHEN {c} > {c}_hi THEN {c}_hi "
                 f"ELSE {c} END) ELSE {c} END AS {c}")
     body = f"SELECT {', '.join(cap(c) for c in ENG_COLS)} FROM eng, p"
-    return with_fixtures(rounded(body, ENG_COLS, CAP_COLS), *_cap_ctes())
+    return with_fixtures(rounded(body, ENG_COLS, CAP_COLS), *cap_ctes())
 
 
 @oracle("cap_report")
@@ -88,7 +88,7 @@ def _():
         f"{c}_lo AS lower_bound, {c}_hi AS upper_bound, CASE WHEN {c}_cap THEN 'capped' WHEN {c}_n > 0 "
         f"THEN 'skipped' ELSE 'none' END AS action FROM p" for i, c in enumerate(CAP_COLS))
     cols = ["column", "ord", "outlier_count", "outlier_pct", "lower_bound", "upper_bound", "action"]
-    return with_fixtures(rounded(rows, cols, ["outlier_pct", "lower_bound", "upper_bound"]), *_cap_ctes())
+    return with_fixtures(rounded(rows, cols, ["outlier_pct", "lower_bound", "upper_bound"]), *cap_ctes())
 
 
 def _eng_select(cols, doubles):

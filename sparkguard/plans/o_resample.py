@@ -2,10 +2,12 @@
 from __future__ import annotations
 
 from ..functions.columns import FEATURE_COLS
-from .o_sampling import SPLIT_CTES
+from .o_prep import CAP_COLS, MODE_SQL, cap_ctes, nn
+from .o_sampling import SPLIT_CTES, quota_ctes, rank_cte
 from .o_stats import hist_ctes
-from .oracle_sql import oracle, rounded, with_fixtures
+from .oracle_sql import PERIOD_COLS, TX_COLS, oracle, rounded, with_fixtures
 
+MODEL_COLS = [*CAP_COLS, *PERIOD_COLS]
 TR = "tr AS (SELECT * FROM sp WHERE split = 'train')"
 
 
@@ -46,14 +48,86 @@ def _():
                          std_params())
 
 
-@oracle("smote_neighbors")
-def _():
+def _neighbors(src, *ctes):
     dist = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in FEATURE_COLS)
     body = (f"SELECT id, k_idx, nb_id, sqrt(dist2) AS dist FROM (SELECT a.id, b.id AS nb_id, 0.0 + {dist} AS dist2, "
             "row_number() OVER (PARTITION BY a.id ORDER BY 0.0 + " + dist + ", b.id) AS k_idx "
             "FROM mn a JOIN mn b ON a.id <> b.id) WHERE k_idx <= 5")
     return with_fixtures(rounded(body, ["id", "k_idx", "nb_id", "dist"], ["dist"]), *SPLIT_CTES, TR,
-                         "mn AS (SELECT * FROM tr WHERE Class = 1)")
+                         *ctes, f"mn AS (SELECT * FROM {src} WHERE Class = 1)")
+
+
+@oracle("smote_neighbors")
+def _():
+    return _neighbors("tr")
+
+
+@oracle("smote_neighbors_scaled")
+def _():
+    scaled = ", ".join(f"({c} - {c}_c) / {c}_s AS {c}" for c in FEATURE_COLS)
+    return _neighbors("sc", std_params(), f"sc AS (SELECT id, Class, {scaled} FROM tr, pm)")
+
+
+@oracle("smote_checks")
+def _():
+    body = ("SELECT Class, max(n) OVER () AS n, max(n) OVER () AS n_ids, max(n) OVER () - n AS n_synthetic, "
+            "max(n) OVER () - n AS n_between FROM (SELECT Class, count(*) AS n FROM tr GROUP BY Class)")
+    return with_fixtures(body, *SPLIT_CTES, TR)
+
+
+@oracle("fit_checks")
+def _():
+    from ..operators.models import MODEL_NAMES
+    models = ", ".join(f"('{m}')" for m in MODEL_NAMES)
+    body = (f"SELECT model, count(*) AS n, count(DISTINCT id) AS n_ids, count(*) AS n_in_range, "
+            f"CAST(sum(Class) AS BIGINT) AS n_fraud, true AS auc_ok FROM sp CROSS JOIN (VALUES {models}) m(model) "
+            "WHERE split = 'test' GROUP BY model")
+    return with_fixtures(body, *SPLIT_CTES)
+
+
+@oracle("shapley_checks")
+def _():
+    return with_fixtures(f"SELECT id, CAST({len(MODEL_COLS)} AS BIGINT) AS n_features, true AS adds_up FROM sp WHERE split = 'test'",
+                         *SPLIT_CTES)
+
+
+@oracle("importance_checks")
+def _():
+    return f"SELECT CAST({len(MODEL_COLS)} AS BIGINT) AS n_features, true AS adds_up, true AS none_negative"
+
+
+# ---- the preprocessing flow on impure rows, without synthetic ones -----------------------------------------
+def _flow(where: str = ""):
+    filled = ", ".join("coalesce(Amount, (SELECT quantile_cont(Amount, 0.5) FROM i0)) AS Amount" if c == "Amount" else
+                       "coalesce(V3, (SELECT quantile_cont(V3, 0.5) FROM i0)) AS V3" if c == "V3" else c for c in TX_COLS)
+    whole = ", ".join("CASE WHEN isinf(V4) THEN (SELECT quantile_cont(V4, 0.5) FROM i1 WHERE NOT isinf(V4)) ELSE V4 END AS V4"
+                      if c == "V4" else c for c in TX_COLS)
+    capped = ", ".join(f"CASE WHEN {c}_cap THEN greatest({c}_lo, least({c}_hi, {c})) ELSE {c} END AS {c}" for c in CAP_COLS)
+    periods = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in PERIOD_COLS)
+    params = ", ".join(f'avg("{c}") AS "{c}_c", CASE WHEN stddev_pop("{c}") = 0 THEN 1.0 ELSE stddev_pop("{c}") END AS "{c}_s"'
+                       for c in MODEL_COLS)
+    scaled = ", ".join(f'("{c}" - "{c}_c") / "{c}_s" AS "{c}"' for c in MODEL_COLS)
+    ctes = [f"i0 AS (SELECT * REPLACE ({nn('V3')} AS V3) FROM transactions_dirty)",
+            f"i1 AS (SELECT {filled}, coalesce(channel, {MODE_SQL}) AS channel FROM i0)",
+            f"i2 AS (SELECT DISTINCT {whole}, channel FROM i1)", *cap_ctes("i2"),
+            f"cp AS (SELECT id, Class, {capped}, {periods} FROM eng, p)",
+            *quota_ctes("cp", "_total - ceil(0.2::DOUBLE * _total)", "cq"), rank_cte("cr", "cp", "42-"),
+            "cs AS (SELECT cr.*, CASE WHEN rk <= quota THEN 'train' ELSE 'test' END AS split FROM cr JOIN cq USING (Class))",
+            f"pm AS (SELECT {params} FROM cs WHERE split = 'train')"]
+    cols = ["id", "Class", *MODEL_COLS, "split", "synthetic"]
+    body = f"SELECT id, Class, {scaled}, split, false AS synthetic FROM cs, pm{where}"
+    return with_fixtures(rounded(body, cols, MODEL_COLS), *ctes)
+
+
+@oracle("preprocess_no_resample")
+def _():
+    return _flow()
+
+
+@oracle("load_processed")
+def _():
+    return _flow(" WHERE split = 'test'")
+
 
 
 @oracle("before_after_balance")

@@ -14,7 +14,7 @@ from ..operators import explain as X
 from ..operators import metrics as M
 from ..operators import models as ML
 from . import preprocess as PP
-from .registry import query, tx
+from .registry import dirty, query
 
 _CACHE: dict = {}
 
@@ -22,7 +22,7 @@ _CACHE: dict = {}
 def processed(spark, d):
     k = (spark.sparkContext.applicationId, d)
     if k not in _CACHE:
-        out, feats, _ = PP.preprocess(tx(spark, d))
+        out, feats, _ = PP.preprocess(dirty(spark, d))
         _CACHE[k] = (out, feats)
     return _CACHE[k]
 
@@ -165,3 +165,31 @@ def shap_top3_q(spark, d):
 @query("shap_dependence")
 def shap_dependence_q(spark, d):
     return X.shap_dependence(_shap(spark, d), 3)
+
+
+@query("fit_checks")
+def fit_checks_q(spark, d):
+    """Per base model: scored test rows, probabilities in [0, 1], an AUC above chance by a wide margin."""
+    sc = all_scored(spark, d)
+    p = F.col("y_prob")
+    rows = sc.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_ids"),
+                                   F.count_if(p.between(0.0, 1.0)).alias("n_in_range"),
+                                   F.sum("y_true").cast("long").alias("n_fraud"))
+    auc = M.model_comparison(sc).select("model", (F.col("roc_auc") > 0.7).alias("auc_ok"))
+    return rows.join(auc, "model")
+
+
+@query("shapley_checks")
+def shapley_checks_q(spark, d):
+    """Per test row: the contributions add up to the model's output less the base value."""
+    return _shap(spark, d).groupBy("id").agg(
+        F.count(F.lit(1)).alias("n_features"),
+        (F.abs(F.sum("phi") - (F.first("fx") - F.first("base"))) < 1e-9).alias("adds_up"))
+
+
+@query("importance_checks")
+def importance_checks_q(spark, d):
+    """The tree importances of all features add up to 1 and none is negative."""
+    return tree_importance_q(spark, d).agg(
+        F.count(F.lit(1)).alias("n_features"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("adds_up"),
+        (F.min("importance") >= 0).alias("none_negative"))

@@ -75,12 +75,7 @@ def materialize(spark: SparkSession, name: str, build) -> "DataFrame":  # noqa:
     path = _MATERIALIZED.get(key)
     if path is None:
         path = shared_dir(spark, f"{name.replace('/', '_')}-{uuid.uuid4().hex[:12]}")
-        df = build()
-        want = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
-            # small inputs arrive as one file: spread them so every core works
-            df = df.repartition(want, df.columns[0])
-        df.write.mode("overwrite").parquet(path)
+        build().write.mode("overwrite").parquet(path)
         _MATERIALIZED[key] = path
     return spark.read.parquet(path)
 

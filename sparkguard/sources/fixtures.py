@@ -19,20 +19,14 @@ FRAUD_MIN_AMOUNT = 100
 SCORE_MULTIPLIER = 7919
 SCORED_MODELS = ["m1", "m2", "m3"]
 
-# Broadcast the vector table only while it is provably small: its row count is
-# read from parquet metadata before the plan is built.
-VECTOR_BROADCAST_MAX_ROWS = 200_000
-
 
 def _base(spark: SparkSession, sf_dir: str, extra_event_cols: tuple[str, ...] = ()) -> DataFrame:
     events = read_table(spark, sf_dir, "events")
     vectors = read_table(spark, sf_dir, "embeddings")
-    n = vectors.count()  # metadata-only count; decides modulus and join strategy
+    n = vectors.count()  # metadata-only count: the modulus
     if n == 0:
         raise ValueError("embeddings table is empty")
     vec = vectors.select(F.col("vec_id"), F.col("embedding"), F.col("label"))
-    if n <= VECTOR_BROADCAST_MAX_ROWS:
-        vec = F.broadcast(vec)
     ev = events.select(
         F.col("event_id").alias(ID), "ts", "value", *extra_event_cols,
         (F.col("event_id") % F.lit(n)).alias("_vec_key"))
