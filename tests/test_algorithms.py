@@ -82,3 +82,34 @@ def test_exact_knn_matches_brute_force(spark):
         for k, (dist, j) in enumerate(order, start=1):
             nb, gd = got[(i, k)]
             assert nb == j and abs(gd - dist) <= 1e-9 * max(1.0, dist), (i, k, nb, j)
+
+
+def test_knn_over_many_blocks_matches_all_pairs(spark):
+    """No direction separates these rows, so every pair of blocks is compared; equal rows tie by id."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(150, 12))
+    x[140:] = x[7]                                    # eleven equal rows
+    df = spark.createDataFrame([(i * 3, [float(v) for v in r]) for i, r in enumerate(x)], "id long, v array<double>")
+    got = {(r["id"], r["k_idx"]): (r["nb_id"], r["dist2"]) for r in RS.knn_minority(df, k=5, block=16).collect()}
+    assert len(got) == 150 * 5
+    for i in range(150):
+        d = np.zeros(150)
+        for f in range(12):
+            d += np.square(x[i, f] - x[:, f])
+        order = [j for j in np.lexsort((np.arange(150), d)) if j != i][:5]
+        assert [got[i * 3, n + 1] for n in range(5)] == [(j * 3, d[j]) for j in order]
+
+
+def test_smote_parents_are_neighbours(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, *[float(v) for v in rng.normal(size=3)], int(i < 12)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, Class int")
+    out = RS.smote(df, ["a", "b", "c"], parents=True).collect()
+    at = {r[0]: np.array(r[1:4]) for r in rows}
+    made = [r for r in out if r.synthetic]
+    assert len(made) == 36 and all(r.base_id is None for r in out if not r.synthetic)
+    for r in made:
+        a, b, p = at[r.base_id], at[r.nb_id], np.array([r.a, r.b, r.c])
+        assert (np.minimum(a, b) - 1e-12 <= p).all() and (p <= np.maximum(a, b) + 1e-12).all()
+        near = sorted((np.square(a - at[j]).sum(), j) for j in range(12) if j != r.base_id)[:5]
+        assert r.nb_id in [j for _, j in near]
