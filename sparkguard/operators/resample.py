@@ -29,6 +29,7 @@ from ..session import cut_lineage, ensure_checkpoint_dir
 K_NEIGHBORS = 5
 SEED = 42
 BLOCK = 1024            # rows of a block; a task holds two blocks and 256 x BLOCK distances
+RANK_BUCKETS = 1024     # window groups that the ranks along u are taken in
 COPY_BLOCK = 10_000     # synthetic rows made from one base row in one task
 
 
@@ -57,11 +58,11 @@ def _ranked_points(points: DataFrame, d: int, seed: int) -> DataFrame:
     u = F.array(*[F.lit(x) for x in principal_direction(points, d, seed)])
     p = points.withColumn("proj", F.aggregate(F.zip_with(F.col("v"), u, lambda x, y: x * y), F.lit(0.0),
                                               lambda acc, x: acc + x))
-    rng = p.agg(F.min("proj").alias("_mn"), F.max("proj").alias("_mx"))
-    p = p.crossJoin(F.broadcast(rng))
-    width = (F.col("_mx") - F.col("_mn")) / 65536.0
-    bucket = F.when(width > 0, F.least(F.lit(65535), F.floor((F.col("proj") - F.col("_mn")) / width))).otherwise(0)
-    p = p.withColumn("_b", bucket.cast("int")).drop("_mn", "_mx")
+    # buckets of about equal counts whatever the tails: the edges are approximate quantiles (one row)
+    edges = p.agg(F.array_distinct(F.percentile_approx("proj", [i / RANK_BUCKETS for i in range(1, RANK_BUCKETS)]))
+                  .alias("_e"))
+    p = p.crossJoin(F.broadcast(edges)) \
+        .withColumn("_b", F.size(F.filter("_e", lambda e: e < F.col("proj")))).drop("_e")
     cnt = p.groupBy("_b").agg(F.count(F.lit(1)).alias("_bn"))
     offs = cnt.select("_b", F.coalesce(F.sum("_bn").over(Window.orderBy("_b").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))  # one row per bucket (bounded)
