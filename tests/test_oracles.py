@@ -10,7 +10,7 @@ SUBSET = ["load_transactions", "null_report", "duplicate_count", "iqr_outlier_re
           "handle_missing", "cap_outliers", "transform_features", "fraud_ratio_by_hour", "stratified_split",
           "stratified_kfold", "tuning_subsample", "model_comparison", "roc_curve", "pr_curve", "threshold_sweep",
           "cost_curve_min", "correlation_matrix", "histogram", "kde", "boxplot_stats", "standard_scale",
-          "smote_neighbors", "before_after_balance", "stored_scaler", "load_transactions_csv", "evaluate_pipeline"]
+          "smote_neighbors", "smote_neighbors_scaled", "load_processed", "before_after_balance", "stored_scaler", "load_transactions_csv", "evaluate_pipeline"]
 
 
 def _names():
