@@ -32,7 +32,7 @@ class ChunkEncoder:
     so a text's ids are its chunks' ids joined.  Known chunks are looked up.  A new chunk of Latin letters with
     marks after them is its lower-case word and its marks; new words are encoded together, one space between them,
     and cut after the ids that end a word.  Every other new chunk is encoded on its own.
-    ``tests/llm/test_tokens.py`` compares the ids with those of whole texts.
+    ``tests/llm/test_operators.py`` compares the ids with those of whole texts.
     """
 
     def __init__(self, path: str, ordinary_specials: bool = False):
