@@ -22,6 +22,9 @@ SCORED_MODELS = ["m1", "m2", "m3"]
 
 def _base(spark: SparkSession, sf_dir: str, extra_event_cols: tuple[str, ...] = ()) -> DataFrame:
     events = read_table(spark, sf_dir, "events")
+    want = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() < want:     # a plain scan: planned, not run
+        events = events.repartition(want, "event_id")    # small inputs arrive as one file: every core works
     vectors = read_table(spark, sf_dir, "embeddings")
     n = vectors.count()  # metadata-only count: the modulus
     if n == 0:
