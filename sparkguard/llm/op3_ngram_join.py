@@ -191,8 +191,10 @@ def _large_groups(members: DataFrame, threshold: float, block: int) -> tuple[Dat
         F.col("a.nodes").alias("nodes"), F.col("b.nodes").alias("other_nodes"), F.col("b.copies").alias("copies"))
     sure = (F.col("bin") + F.col("other") + 2) * BIN <= far - 1e-9
     never = (F.abs(F.col("bin") - F.col("other")) - 1) * BIN > far + 1e-9
-    sums = pairs.filter(sure).groupBy("pivot", "bin").agg(F.sum("copies").alias("sure"))
-    certain = dist.join(sums, ["pivot", "bin"]).select("node", (F.col("sure") - F.col("copies")).alias("links"))
+    # a node's own copies stand in the sum only if its bin is sure with itself
+    sums = pairs.filter(sure).groupBy("pivot", "bin").agg(F.sum("copies").alias("sure"), F.max(F.col("bin") == F.col("other")).alias("own"))
+    own = F.when(F.col("own"), F.col("copies")).otherwise(0)
+    certain = dist.join(sums, ["pivot", "bin"]).select("node", (F.col("sure") - own).alias("links"))
     stars = dist.filter(F.col("d") <= far + 1e-12).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     # blocks of a bin: by a hash of the node, about `block` nodes each
     subs = lambda n: F.ceil(F.col(n) / block).cast("int")
