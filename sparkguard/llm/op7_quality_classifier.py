@@ -4,13 +4,15 @@
   scaled to unit length.
 * Metadata view: language, source, length, lines, upper-case share and symbol share, in bins, hashed.
 
-Both logistic regressions start from the labelled rows.  In each round each view labels the unlabelled pool; what it is
+Both logistic regressions start from the labelled rows.  In each round each view labels all unlabelled rows; what it is
 confident about (probability >= ``CONFIDENT`` either way, the other view not confidently against it) joins the other
 view's training rows, and both are fitted again.  A held-out fifth of the labels calibrates each view (Platt scaling); the
 calibrated log-odds are added, less the prior's, and every document is scored.
 
-Bounds: at most about ``MAX_LABELLED`` labelled and ``MAX_POOL`` unlabelled rows are used to fit, chosen by a hash of doc_id
-at a rate from exact counts; scoring covers all rows.  Everything runs in the JVM.
+Every unlabelled row is labelled in every round and all confident ones are fitted, whatever the input's size.  Only the labelled
+rows are bounded: about ``MAX_LABELLED`` of them, chosen by a hash of doc_id at a rate from exact counts.  They weigh 1 / rate, so
+that they count against the pseudo-labels as all labelled rows would.  The views are computed and written once, with term
+counts (which Parquet packs well) in place of the unit vectors.  Everything runs in the JVM.
 
 Labels are joined by doc_id; null labels and labels without a document are ignored; several labels of a document count
 by their greatest.  Without labels of both classes there is no model: scores are null and all documents are kept.
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-MAX_LABELLED, MAX_POOL = 8000, 8000
+MAX_LABELLED = 8000
 ROUNDS, CONFIDENT = 2, 0.95
 TEXT_DIM, META_DIM = 1 << 14, 1 << 9
 KEEP_AT = 0.3
@@ -40,7 +42,7 @@ def _bin(share: Column) -> Column:
 
 
 def views(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the vectors ``text_x`` and ``meta_x`` of every row."""
+    """``doc_id``, the vectors ``tf`` (term counts) and ``meta_x`` of every row."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"),
                     F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
     shape = F.regexp_replace(F.regexp_replace("t", r"\p{Ll}+", "a"), r"\p{Lu}+", "A")
@@ -55,9 +57,13 @@ def views(docs: DataFrame) -> DataFrame:
     shaped = F.transform("shapes", lambda s: F.concat(F.lit("\x00"), s))
     d = d.withColumn("terms", F.concat("words", shaped, marks))
     stages = [HashingTF(inputCol="terms", outputCol="tf", numFeatures=TEXT_DIM),
-              Normalizer(inputCol="tf", outputCol="text_x"),
               FeatureHasher(inputCols=META, outputCol="meta_x", numFeatures=META_DIM, categoricalCols=META)]
-    return PipelineModel(stages).transform(d).select("doc_id", "text_x", "meta_x")
+    return PipelineModel(stages).transform(d).select("doc_id", "tf", "meta_x")
+
+
+def _unit(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``text_x``, the term counts scaled to unit length."""
+    return Normalizer(inputCol="tf", outputCol="text_x").transform(rows).drop("tf")
 
 
 def _draw(seed: int) -> Column:
@@ -66,8 +72,9 @@ def _draw(seed: int) -> Column:
 
 
 def _fit(rows: DataFrame, x: str, reg: float = 1e-4):
-    return LogisticRegression(featuresCol=x, labelCol="y", maxIter=20, regParam=reg, rawPredictionCol="raw", probabilityCol="prob",
-                              predictionCol="pred").fit(rows)
+    """Logistic regression of ``y`` on ``x``, weighted by ``w``."""
+    return LogisticRegression(featuresCol=x, labelCol="y", weightCol="w", maxIter=20, regParam=reg, rawPredictionCol="raw",
+                              probabilityCol="prob", predictionCol="pred").fit(rows)
 
 
 def _scored(model, rows: DataFrame, name: str) -> DataFrame:
@@ -93,26 +100,25 @@ class CoTrained:
 
 def _platt(model, rows: DataFrame, x: str) -> tuple[float, float]:
     z = _scored(model, rows.select("y", x), "z")
-    m = _fit(VectorAssembler(inputCols=["z"], outputCol="zv").transform(z.select("y", "z")), "zv", 1e-3)
+    m = _fit(VectorAssembler(inputCols=["z"], outputCol="zv").transform(z.select("y", F.lit(1.0).alias("w"), "z")), "zv", 1e-3)
     return float(m.coefficients[0]), float(m.intercept)
 
 
-def co_train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL,
-             rounds: int = ROUNDS, confident: float = CONFIDENT, seed: int = 11) -> CoTrained | None:
-    """Fit on a bounded sample of labelled rows and a bounded pool of the others; None without both classes."""
-    import math
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y")) \
+def known_labels(labels: DataFrame) -> DataFrame:
+    """``(doc_id, y)``: one label per document."""
+    return labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y")) \
         .filter("doc_id is not null and y in (0.0, 1.0)").groupBy("doc_id").agg(F.max("y").alias("y"))
-    n_known, n_docs = known.count(), docs.count()
-    if not n_known or not n_docs:
-        return None
+
+
+def co_train(rows: DataFrame, n_known: int, max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS,
+             confident: float = CONFIDENT, seed: int = 11) -> CoTrained | None:
+    """Fit on ``rows``, the views of all documents with their label ``y`` or null; None without both classes.  ``n_known``
+    is the number of labels."""
+    import math
     rate = min(1.0, max_labelled / n_known)
-    picked = known.filter(_draw(seed) < rate)
-    ids = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    train = ids.join(picked, "doc_id")
-    pool = ids.filter(_draw(seed + 1) < min(1.0, max_pool / n_docs)).join(known, "doc_id", "left_anti")
-    fit_rows = written(views(train).join(picked, "doc_id"), "labelled")
-    pool_rows = written(views(pool), "pool")
+    rows = _unit(rows)
+    fit_rows = written(rows.filter("y is not null").filter(_draw(seed) < rate).withColumn("w", F.lit(1 / rate)), "labelled")
+    pool = rows.filter("y is null").drop("y")
     held = fit_rows.filter(_draw(seed + 2) < 0.2)
     base = fit_rows.filter(_draw(seed + 2) >= 0.2)
     count = {(r["h"], r["y"]): r["count"] for r in fit_rows.groupBy((_draw(seed + 2) < 0.2).alias("h"), "y").count().collect()}
@@ -125,22 +131,29 @@ def co_train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
     text, meta = _fit(base, "text_x"), _fit(base, "meta_x")
     edge = math.log(confident / (1 - confident))
     for _ in range(rounds):
-        both = _scored(meta, _scored(text, pool_rows, "a"), "b")
+        both = _scored(meta, _scored(text, pool, "a"), "b")
         sure = lambda own, other: F.when((F.col(own) >= edge) & (F.col(other) > -edge), 1.0).when(
             (F.col(own) <= -edge) & (F.col(other) < edge), 0.0)
-        given = written(both.withColumn("for_meta", sure("a", "b")).withColumn("for_text", sure("b", "a"))
-                        .select("text_x", "meta_x", "for_meta", "for_text"), "given")
-        text = _fit(base.select("text_x", "y").union(given.filter("for_text is not null").select("text_x", "for_text")), "text_x")
-        meta = _fit(base.select("meta_x", "y").union(given.filter("for_meta is not null").select("meta_x", "for_meta")), "meta_x")
+        # `once` is always true; as a column that isn't deterministic it keeps the filter, and so a second scoring, out of the scan
+        once = F.monotonically_increasing_id() >= 0
+        given = lambda x, y: both.select(x, F.when(once, y).alias("y"), F.lit(1.0).alias("w")).filter("y is not null")
+        for_meta = written(given("meta_x", sure("a", "b")), "given")      # small, without the text vectors
+        for_text = given("text_x", sure("b", "a"))
+        text = _fit(base.select("text_x", "y", "w").union(for_text), "text_x")
+        meta = _fit(base.select("meta_x", "y", "w").union(for_meta), "meta_x")
     return CoTrained(text, meta, _platt(text, held, "text_x"), _platt(meta, held, "meta_x"), math.log(n[1.0] / n[0.0]))
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep_at: float = KEEP_AT, **options) -> DataFrame:
     """``(doc_id, p_text, p_meta, score, kept)`` for every row of ``docs``."""
-    model = co_train(docs, labels, **options)
+    known = known_labels(labels)
+    n_known, model = known.count(), None
+    if n_known and not docs.isEmpty():
+        rows = written(views(docs).join(known, "doc_id", "left"), "views")
+        model = co_train(rows, n_known, **options)
     if model is None:
         none = F.lit(None).cast("double")
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), none.alias("p_text"), none.alias("p_meta"),
                            none.alias("score"), F.lit(True).alias("kept"))
-    out = model.score(views(docs)).select("doc_id", "p_text", "p_meta", "score")
+    out = model.score(_unit(rows)).select("doc_id", "p_text", "p_meta", "score")
     return out.withColumn("kept", F.col("score") >= keep_at)
