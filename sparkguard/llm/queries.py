@@ -35,6 +35,10 @@ def op6_quality_rules_q(spark, d):
     return op6_quality_rules.quality_ledger(table(spark, d, "documents"))
 
 
+def op6_rule_ablation_q(spark, d):
+    return op6_quality_rules.ablation(op6_quality_rules.ledger(table(spark, d, "documents")))
+
+
 def op7_quality_classifier_q(spark, d):
     return op7_quality_classifier.classify(table(spark, d, "documents"), table(spark, d, "labels"))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts_q,
     "op5_decontaminate": op5_decontaminate_q,
     "op6_quality_rules": op6_quality_rules_q,
+    "op6_rule_ablation": op6_rule_ablation_q,
     "op7_quality_classifier": op7_quality_classifier_q,
     "op8_url_filters": op8_url_filters_q,
     "op9_line_dedup": op9_line_dedup_q,

@@ -3,7 +3,8 @@ import random
 
 from helpers import documents, near_classes
 
-from sparkguard.llm import op3_ngram_join, op7_quality_classifier
+from sparkguard.llm import op3_ngram_join, op6_quality_rules, op7_quality_classifier
+from sparkguard.llm.queries import QUERIES
 
 
 def test_links_of_a_group_around_its_base_text(spark):
@@ -35,3 +36,17 @@ def test_every_unlabelled_row_is_in_the_pool(spark, monkeypatch):
     for x in ("text_x", "meta_x"):
         start, *rounds = [n for name, n in sizes if name == x]
         assert [n - start for n in rounds] == [12_000] * op7_quality_classifier.ROUNDS
+
+
+def test_ablation_runs_as_a_query(spark, sf):
+    judged = QUERIES["op6_quality_rules"](spark, sf).select("fails").collect()
+    policy = op6_quality_rules.CURRENT
+    names = list(op6_quality_rules.RULES)
+
+    def kept(without=None):
+        use = lambda rules: [1 << names.index(r) for r in rules if r != without]     # noqa: E731
+        return sum(not any(r.fails & b for b in use(policy.hard)) and sum(bool(r.fails & b) for b in use(policy.soft)) <= policy.allowed
+                   for r in judged)
+    got = {r.rule: (r.n_failed, r.n_kept, r.n_kept_without, r.n_added) for r in QUERIES["op6_rule_ablation"](spark, sf).collect()}
+    assert got == {rule: (sum(bool(r.fails & 1 << names.index(rule)) for r in judged), kept(), kept(rule), kept(rule) - kept())
+                   for rule in policy.hard + policy.soft}
