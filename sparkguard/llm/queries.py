@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (op1_substring_dedup, op2_token_binary, op3_ngram_join, op4_token_counts, op5_decontaminate,
-               op6_quality_rules, op7_quality_classifier, op8_url_filters, op9_line_dedup, op10_mixture)
+               op6_quality_rules, op7_quality_classifier, op8_url_filters, op9_line_dedup, op10_mixture,
+               op12_spelling_variants, op13_conversation_repair)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +56,14 @@ def op10_mixture_q(spark, d):
     return op10_mixture.mixture(table(spark, d, "documents"))
 
 
+def op12_spelling_variants_q(spark, d):
+    return op12_spelling_variants.spelling_variants(table(spark, d, "documents"), damaged=True)
+
+
+def op13_conversation_repair_q(spark, d):
+    return op13_conversation_repair.repair(op13_conversation_repair.damage(table(spark, d, "conversations"))).drop("n_rows")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup_q,
     "op2_token_binary": op2_token_binary_q,
@@ -67,4 +76,6 @@ QUERIES = {
     "op8_url_filters": op8_url_filters_q,
     "op9_line_dedup": op9_line_dedup_q,
     "op10_mixture": op10_mixture_q,
+    "op12_spelling_variants": op12_spelling_variants_q,
+    "op13_conversation_repair": op13_conversation_repair_q,
 }
