@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (op1_substring_dedup, op2_token_binary, op3_ngram_join, op4_token_counts, op5_decontaminate,
                op6_quality_rules, op7_quality_classifier, op8_url_filters, op9_line_dedup, op10_mixture,
-               op12_spelling_variants, op13_conversation_repair)
+               op11_lsh_forest, op12_spelling_variants, op13_conversation_repair)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op10_mixture_q(spark, d):
     return op10_mixture.mixture(table(spark, d, "documents"))
 
 
+def op11_lsh_forest_q(spark, d):
+    return op11_lsh_forest.near_dedup(table(spark, d, "documents"))
+
+
 def op12_spelling_variants_q(spark, d):
     return op12_spelling_variants.spelling_variants(table(spark, d, "documents"), damaged=True)
 
@@ -76,6 +80,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters_q,
     "op9_line_dedup": op9_line_dedup_q,
     "op10_mixture": op10_mixture_q,
+    "op11_lsh_forest": op11_lsh_forest_q,
     "op12_spelling_variants": op12_spelling_variants_q,
     "op13_conversation_repair": op13_conversation_repair_q,
 }
