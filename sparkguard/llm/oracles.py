@@ -5,6 +5,7 @@ from .op1_substring_dedup import LONG, SENTENCES, WORDS
 from .op6_quality_rules import CURRENT, POLICIES, RULES, bit_mask
 from .op8_url_filters import HOST_RULES, PATTERN_RULES
 from .op9_line_dedup import MIN_SITES
+from .op12_spelling_variants import DAMAGE, MIN_CHARS, MIN_COUNT, RATIO
 from .op10_mixture import DOMAINS, MAX_EPOCHS, SEED, SHARE, WEIGHTS
 
 # ---- op1: sentences and runs by joins, occurrences ranked ------------------------------------------------------
@@ -136,5 +137,110 @@ def _op10() -> str:
                                           "(SELECT *, unnest(generate_series(1, CAST(n AS BIGINT))) AS e FROM t WHERE n > 0)")
 
 
+
+def crc_table() -> list[int]:
+    """The 256 remainders of CRC-32, by its rule (reflected polynomial EDB88320)."""
+    table = []
+    for r in range(256):
+        for _ in range(8):
+            r = r >> 1 ^ (0xEDB88320 if r & 1 else 0)
+        table.append(r)
+    return table
+
+
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of a string's UTF-8 bytes; ``crc`` must be a CTE that holds ``crc_table`` as ``tab``."""
+    digits = f"hex(encode({text}))"
+    codes = f"list_transform(range(1, length({digits}), 2), lambda i: CAST('0x' || substr({digits}, i, 2) AS BIGINT))"
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), "
+            f"lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), CAST(4294967295 AS BIGINT))")
+
+
+_CRC = f"crc AS MATERIALIZED (SELECT CAST({crc_table()} AS BIGINT[]) AS tab)"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# ---- op11: shingle sets by an inverted index, components by repeated least labels ---------------------------------
+OP11 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + n - 1], ' ') AS s
+       FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS p
+             FROM (SELECT doc_id, w, least(2, len(w)) AS n FROM d WHERE len(w) > 0))),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+df AS (SELECT s, count(*) AS f FROM sh GROUP BY s),
+pre AS (SELECT doc_id, s FROM (SELECT sh.doc_id, s, n, row_number() OVER (PARTITION BY sh.doc_id ORDER BY f, s) AS r
+                               FROM sh JOIN df USING (s) JOIN n USING (doc_id)) WHERE r <= n - CAST(ceil(n * 80 / 100.0) AS BIGINT) + 1),
+cand AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM pre a JOIN pre b ON a.s = b.s AND a.doc_id < b.doc_id),
+common AS (SELECT a, b, count(*) AS c FROM cand JOIN sh x ON x.doc_id = a JOIN sh y ON y.doc_id = b AND y.s = x.s GROUP BY a, b),
+link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a AS node, a AS to_id FROM edge UNION SELECT r.node, e.b FROM reach r JOIN edge e ON e.a = r.to_id),
+comp AS (SELECT node, min(to_id) AS least FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(least, d.doc_id) AS component_id, coalesce(least, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp ON comp.node = d.doc_id"""
+
+# ---- op12: near words by equal deletions --------------------------------------------------------------------------
+OP12 = rf"""
+WITH RECURSIVE {_CRC},
+d AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents),
+r AS (SELECT doc_id, run, count(*) AS c FROM d GROUP BY doc_id, run),
+h AS (SELECT run, c, {crc32("coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || run")} AS h FROM r, crc),
+w AS (SELECT CASE WHEN h % {DAMAGE} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM h),
+v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM w GROUP BY word HAVING length(word) >= {MIN_CHARS} AND sum(c) >= {MIN_COUNT}),
+gone AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+         FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS p FROM v)),
+near AS (SELECT a.word, b.word AS x, b.n AS m FROM gone a JOIN gone b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+         UNION SELECT a.word, v.word, v.n FROM gone a JOIN v ON v.word = a.rest
+         UNION SELECT v.word, a.word, a.n FROM gone a JOIN v ON v.word = a.rest),
+best AS (SELECT word, x, m, row_number() OVER (PARTITION BY word ORDER BY m DESC, x) AS k, count(*) OVER (PARTITION BY word) AS c FROM near),
+f AS (SELECT v.word, v.n, coalesce(c, 0) AS n_near, CASE WHEN m >= {RATIO} * v.n THEN x END AS form, CASE WHEN m >= {RATIO} * v.n THEN m END AS form_n
+      FROM v LEFT JOIN best ON best.word = v.word AND k = 1),
+walk AS (SELECT word, word AS at, form AS next FROM f UNION ALL SELECT walk.word, f.word, f.form FROM walk JOIN f ON f.word = walk.next)
+SELECT f.*, walk.at AS root FROM f JOIN walk ON walk.word = f.word AND walk.next IS NULL"""
+
+# ---- op13: the cheapest edits by dynamic programming over rows, all order states at once --------------------------
+_VISIBLE = r"'[^\x20\x09-\x0D]'"
+OP13 = rf"""
+WITH RECURSIVE {_CRC},
+raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               {crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS h FROM conversations, crc),
+dam AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+               CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+               unnest(generate_series(1, CASE WHEN h = 3 THEN 2 ELSE 1 END)) AS copy FROM raw WHERE h <> 0),
+ord AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM dam),
+seen AS (SELECT *, substr(role, 1, 1) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) AS same,
+                lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS before FROM ord),
+rows AS (SELECT *, CASE WHEN NOT regexp_matches(text, {_VISIBLE}) THEN 'blank' WHEN same > 1 THEN 'duplicate'
+                        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM seen),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+                  count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+                  count(*) FILTER (WHERE k > 1 AND before || i NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM rows GROUP BY conv_id),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+-- states: 0 nothing, 1 system, 2 user, 3 assistant; moves (state, initial, inserted initials, next state)
+moves AS (SELECT * FROM (VALUES (0, 's', '', 1), (0, 'u', '', 2), (0, 'a', 'u', 3), (1, 'u', '', 2), (1, 'a', 'u', 3), (2, 'a', '', 3),
+                                (2, 'u', 'a', 2), (3, 'u', '', 2), (3, 'a', 'u', 3)) t(state, i, ins, next)),
+edits AS (SELECT conv_id, k, 'K' AS e, i, role || ':' || text AS line, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS price
+          FROM rows WHERE fault IN ('', 'truncated')
+          UNION ALL SELECT conv_id, k, 'R', r.i, r.role || ':' || text, CASE WHEN fault = 'truncated' THEN 6 ELSE 1 END
+          FROM rows, (VALUES ('u', 'user'), ('a', 'assistant')) r(i, role) WHERE fault IN ('', 'truncated')),
+steps AS (SELECT conv_id, k, state, next, price + 5 * length(ins) AS price, repeat('I', length(ins)) || e AS audit,
+                 CASE ins WHEN 'u' THEN chr(10) || 'user:' WHEN 'a' THEN chr(10) || 'assistant:' ELSE '' END || chr(10) || line AS lines
+          FROM edits JOIN moves USING (i)
+          UNION ALL SELECT conv_id, k, s, s, 2, 'D', '' FROM rows, (VALUES (0), (1), (2), (3)) t(s)),
+best AS (SELECT conv_id, CAST(0 AS BIGINT) AS k, 0 AS state, CAST(0 AS BIGINT) AS cost, '' AS audit, '' AS lines FROM ids
+         UNION ALL
+         SELECT conv_id, k, state, cost, audit, lines FROM (
+             SELECT b.conv_id, s.k, s.next AS state, b.cost + s.price AS cost, b.audit || s.audit AS audit, b.lines || s.lines AS lines,
+                    row_number() OVER (PARTITION BY b.conv_id, s.next ORDER BY b.cost + s.price, b.audit || s.audit) AS r
+             FROM best b JOIN steps s ON b.conv_id IS NOT DISTINCT FROM s.conv_id AND s.k = b.k + 1 AND s.state = b.state) WHERE r = 1),
+ends AS (SELECT b.conv_id, cost + CASE state WHEN 1 THEN 10 WHEN 2 THEN 5 ELSE 0 END AS cost,
+                audit || CASE state WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END AS audit,
+                lines || CASE state WHEN 1 THEN chr(10) || 'user:' || chr(10) || 'assistant:' WHEN 2 THEN chr(10) || 'assistant:' ELSE '' END AS lines
+         FROM best b LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM b.conv_id WHERE b.k = coalesce(c.n, 0)),
+fin AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) AS r FROM ends)
+SELECT f.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, f.cost, f.audit, sha256(substr(lines, 2)) AS repaired_sha256
+FROM fin f LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM f.conv_id WHERE f.r = 1"""
+
 ORACLES = {"op1_substring_dedup": OP1, "op5_decontaminate": OP5, "op6_quality_rules": OP6, "op8_url_filters": _op8(),
-           "op9_line_dedup": OP9, "op10_mixture": _op10()}
+           "op9_line_dedup": OP9, "op10_mixture": _op10(),
+           "op11_lsh_forest": OP11, "op12_spelling_variants": OP12, "op13_conversation_repair": OP13}
