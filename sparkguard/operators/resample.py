@@ -1,14 +1,7 @@
 """SMOTE oversampling as Spark jobs.
 
-k nearest neighbours among the minority rows are found *exactly* and no pair
-becomes a row: rows are ranked along the principal direction u and packed in
-blocks of ``BLOCK`` consecutive ranks.  A pass compares blocks with blocks in
-numpy and keeps at most k candidates per row and block.  It starts with a
-row's own block and doubles the reach; a row outside the reach is at least the
-projection gap away (|u.(a-b)| <= |a-b|), so a row whose k-th distance is
-below both gaps is final and leaves.  Where no gap certifies (scaled rows of
-many dimensions) all block pairs are compared: the arithmetic is quadratic
-then, memory and rows are not.
+k nearest neighbours among the minority rows are found exactly (``knn.py``:
+Voronoi cells, no pair becomes a row).
 
 Synthetic rows are x + s (x_nn - x), base rows assigned round-robin and
 neighbour / step drawn from hashes of (seed, id, copy): deterministic and
@@ -16,152 +9,22 @@ restart-safe.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ID, LABEL
-from ..session import cut_lineage, ensure_checkpoint_dir
+from .knn import BLOCK, nearest_neighbours
 
 K_NEIGHBORS = 5
 SEED = 42
-BLOCK = 1024            # rows of a block; a task holds two blocks and 256 x BLOCK distances
-RANK_BUCKETS = 1024     # window groups that the ranks along u are taken in
 COPY_BLOCK = 10_000     # synthetic rows made from one base row in one task
 
 
-def _direction(d: int, seed: int = SEED) -> list[float]:
-    v = np.random.default_rng(seed).normal(size=d)
-    return [float(x) for x in v / np.linalg.norm(v)]
-
-
-def principal_direction(points: DataFrame, d: int, seed: int = SEED) -> list[float]:
-    """Unit vector of largest variance of the points (top eigenvector of the
-    d x d covariance, itself one distributed Gram-sum job).  Projection gaps
-    along it are the largest, so the kNN windows certify soonest."""
-    from .stats import covariance_matrix_np
-    flat = points.select(*[F.col("v")[i].alias(f"v{i}") for i in range(d)])
-    cov = covariance_matrix_np(flat, [f"v{i}" for i in range(d)])
-    if not np.all(np.isfinite(cov)) or not cov.any():
-        return _direction(d, seed)
-    w, vec = np.linalg.eigh(cov)
-    u = vec[:, int(np.argmax(w))]
-    return [float(x) for x in u / np.linalg.norm(u)]
-
-
-def _ranked_points(points: DataFrame, d: int, seed: int) -> DataFrame:
-    """(id, v, proj, r) with r the 0-based rank along the principal direction,
-    ties by id; the rank uses bucketed prefix counts (no single-partition window)."""
-    u = F.array(*[F.lit(x) for x in principal_direction(points, d, seed)])
-    p = points.withColumn("proj", F.aggregate(F.zip_with(F.col("v"), u, lambda x, y: x * y), F.lit(0.0),
-                                              lambda acc, x: acc + x))
-    # buckets of about equal counts whatever the tails: the edges are approximate quantiles (one row)
-    edges = p.agg(F.array_distinct(F.percentile_approx("proj", [i / RANK_BUCKETS for i in range(1, RANK_BUCKETS)]))
-                  .alias("_e"))
-    p = p.crossJoin(F.broadcast(edges)) \
-        .withColumn("_b", F.size(F.filter("_e", lambda e: e < F.col("proj")))).drop("_e")
-    cnt = p.groupBy("_b").agg(F.count(F.lit(1)).alias("_bn"))
-    offs = cnt.select("_b", F.coalesce(F.sum("_bn").over(Window.orderBy("_b").rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))  # one row per bucket (bounded)
-    rn = F.row_number().over(Window.partitionBy("_b").orderBy("proj", ID))
-    return (p.withColumn("_rn", rn).join(F.broadcast(offs), ["_b"])
-            .select(ID, "v", "proj", (F.col("_off") + F.col("_rn") - 1).alias("r")))
-
-
-def _nearest(q: np.ndarray, q_rank: np.ndarray, bound: np.ndarray, c: np.ndarray, c_rank: np.ndarray,
-             c_id: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query row, candidate ids, squared distances): per row of ``q`` at most k rows of ``c``, by (distance, id),
-    that are no farther than the row's ``bound``; a row is not its own neighbour."""
-    for at in range(0, len(q), 256):
-        some = q[at:at + 256]
-        dist = np.zeros((len(some), len(c)))
-        for f in range(q.shape[1]):
-            dist += np.square(some[:, f, None] - c[None, :, f])
-        dist[q_rank[at:at + 256, None] == c_rank[None, :]] = np.inf
-        kth = np.partition(dist, min(k, len(c)) - 1, axis=1)[:, min(k, len(c)) - 1]
-        near = (dist <= np.minimum(kth, bound[at:at + 256])[:, None]) & np.isfinite(dist)
-        for i in np.flatnonzero(near.any(axis=1)):
-            j = np.flatnonzero(near[i])
-            j = j[np.lexsort((c_id[j], dist[i, j]))[:k]]
-            yield at + i, c_id[j], dist[i, j]
-
-
-def _compare_blocks(d: int, k: int):
-    """mapInArrow over rows (q_id, q_v, q_r, bound, c_id, c_v, c_r), one per block pair -> (id, nb_id, dist2)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for n in range(len(batch)):
-                row = {c: batch.column(c)[n].values.to_numpy(zero_copy_only=False) for c in batch.schema.names}
-                found = list(_nearest(row["q_v"].reshape(-1, d), row["q_r"], row["bound"], row["c_v"].reshape(-1, d),
-                                      row["c_r"], row["c_id"], k))
-                if found:
-                    ids = np.repeat(row["q_id"][[i for i, _, _ in found]], [len(j) for _, j, _ in found])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids, pa.int64()), pa.array(np.concatenate([j for _, j, _ in found]), pa.int64()),
-                         pa.array(np.concatenate([x for _, _, x in found]), pa.float64())], ["id", "nb_id", "dist2"])
-    return run
-
-
 def knn_minority(points: DataFrame, k: int = K_NEIGHBORS, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     """Exact k nearest neighbours: ``(id, k_idx, nb_id, dist2)`` with k_idx
     1..k ordered by (squared distance, neighbour id).  ``points`` has ``id``
     and ``v`` (array<double>)."""
-    ensure_checkpoint_dir(points.sparkSession)
-    d = len(points.select("v").first()["v"])
-    pts = cut_lineage(_ranked_points(points, d, seed).withColumn("b", F.expr(f"r div {block}")), "knn-points")
-    m = pts.count()  # parquet metadata
-    if m <= k:
-        raise ValueError(f"SMOTE needs more than k={k} minority rows, got {m}")
-    last = (m - 1) // block
-    packed = F.array_sort(F.collect_list(F.struct("r", F.col(ID).alias("i"), "v")))    # `block` rows at most
-    blocks = cut_lineage(pts.groupBy("b").agg(packed.alias("p"), F.min("proj").alias("lo"), F.max("proj").alias("hi"))
-                         .select(F.col("b").alias("cb"), F.col("p.i").alias("c_id"), F.flatten("p.v").alias("c_v"),
-                                 F.col("p.r").alias("c_r"), "lo", "hi"), "knn-blocks")
-    none = F.array().cast("array<struct<dist2: double, nb_id: bigint>>")
-    todo, done, reach = pts.withColumn("top", none), None, -1
-    while True:
-        # the blocks between the old reach and the new one, on both sides
-        new_reach = min(last, max(reach + 1, 2 * reach))
-        offs = _offsets(reach + 1, new_reach)
-        kth = F.when(F.size("top") == k, F.element_at("top", -1)["dist2"]).otherwise(F.lit(float("inf")))
-        held = F.collect_list(F.struct(F.col(ID).alias("i"), "v", "r", kth.alias("bound")))
-        queries = todo.groupBy("b").agg(held.alias("p")).select(
-            "b", F.col("p.i").alias("q_id"), F.flatten("p.v").alias("q_v"), F.col("p.r").alias("q_r"),
-            F.col("p.bound").alias("bound"))
-        pairs = (queries.select("*", F.explode(offs).alias("o")).withColumn("cb", F.col("b") + F.col("o"))
-                 .where(F.col("cb").between(0, last)).join(blocks.select("cb", "c_id", "c_v", "c_r"), ["cb"]))
-        found = pairs.select("q_id", "q_v", "q_r", "bound", "c_id", "c_v", "c_r").mapInArrow(
-            _compare_blocks(d, k), "id long, nb_id long, dist2 double")
-        old = todo.select(F.col(ID).alias("id"), F.inline("top")).select("id", "nb_id", "dist2")
-        w = Window.partitionBy("id").orderBy("dist2", "nb_id")
-        best = (found.unionByName(old).withColumn("k_idx", F.row_number().over(w)).where(F.col("k_idx") <= k)
-                .groupBy("id").agg(F.array_sort(F.collect_list(F.struct("dist2", "nb_id"))).alias("top")))
-        below = blocks.select((F.col("cb") + new_reach + 1).alias("b"), F.col("hi").alias("_below"))
-        above = blocks.select((F.col("cb") - new_reach - 1).alias("b"), F.col("lo").alias("_above"))
-        dk = F.element_at("top", -1)["dist2"]
-        ok = (F.size("top") == k) & (F.col("_below").isNull() | (F.pow(F.col("proj") - F.col("_below"), 2) > dk)) \
-            & (F.col("_above").isNull() | (F.pow(F.col("_above") - F.col("proj"), 2) > dk))
-        res = cut_lineage(todo.drop("top").join(best.withColumnRenamed("id", ID), [ID], "left")
-                          .join(below, ["b"], "left").join(above, ["b"], "left")
-                          .select(ID, "v", "proj", "r", "b", F.coalesce("top", none).alias("top"),
-                                  F.coalesce(ok, F.lit(False)).alias("_ok")), "knn-pass")
-        reach = new_reach
-        final = res if reach >= last else res.where("_ok")
-        good = final.select(ID, F.posexplode("top").alias("_p", "_t")).select(
-            ID, (F.col("_p") + 1).alias("k_idx"), F.col("_t.nb_id").alias("nb_id"), F.col("_t.dist2").alias("dist2"))
-        done = good if done is None else done.unionByName(good)
-        todo = res.where(~F.col("_ok")).drop("_ok")
-        if reach >= last or todo.isEmpty():
-            return done
-
-
-def _offsets(first: int, last: int) -> Column:
-    """The block offsets +-first..+-last (0 once)."""
-    up = F.sequence(F.lit(first), F.lit(last))
-    return F.array_distinct(F.concat(up, F.transform(up, lambda o: -o)))
+    return nearest_neighbours(points, k, seed, block=block)
 
 
 def smote(df: DataFrame, features: list[str], label: str = LABEL, key: str = ID, k: int = K_NEIGHBORS,
