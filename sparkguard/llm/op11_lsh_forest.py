@@ -12,10 +12,11 @@ three rounds, each of which leaves out what the rounds before it have already co
 
 1. the first node of a region with each of the others, and the first nodes of neighbouring regions with a common prefix;
 2. all pairs of the regions that hold several components, as one incidence-matrix product;
-3. the pairs that the cuts parted: for the nodes of cut regions (too dense, or lying on a partition's edge) that hold several
-   components, an exact prefix-filter join.  Two sets of similarity t share one of the n - ceil(t n) + 1 shingles that come
-   first in any fixed order; taken by rarity, texts of one template share few of them.  Buckets go through the same two
-   steps, large ones by pairs of blocks.
+3. the pairs that the cuts parted, for cut runs (too dense, or lying on a partition's edge) that hold several components:
+   the rows outside the run's largest component meet each other and that component, in blocks.  Where these strays are many
+   (texts of one template), an exact prefix-filter join takes the run's nodes instead: two sets of similarity t share one of
+   the n - ceil(t n) + 1 shingles that come first in any fixed order; taken by rarity, texts of one template share few of
+   them.  Its buckets go through the same two steps.
 
 So no candidate is capped: regions only decide which pairs are tried first.  Components are the verified links' ones.
 
@@ -42,6 +43,8 @@ REGION = 32
 HELD = 1 << 16
 #: ASCII letters lower-cased, ASCII white space to a space; other bytes kept.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
+#: Rows of a side of a matrix product; a cut run with more rows than STRAYS outside its major component goes to the prefix filter.
+BLOCK, STRAYS = 256, 1024
 NODE = "struct<doc_id: long, k: long>"
 #: Set sizes that a matrix product handles at once.
 CHUNK = 1 << 13
@@ -282,16 +285,28 @@ def _open(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(groups, key)
 
 
-def group_links(rows: DataFrame, sets: DataFrame, key: str, block: int) -> DataFrame:
+def _majors(rows: DataFrame, key: str) -> DataFrame:
+    """Per group of several components: its component of most rows, their number and that of the other rows, the strays."""
+    parts = rows.groupBy(key, "label").agg(F.count(F.lit(1)).alias("c"))
+    most = parts.groupBy(key).agg(F.sum("c").alias("total"), F.max(F.struct("c", "label")).alias("m"))
+    return most.filter("m.c < total").select(key, F.col("m.label").alias("major"), F.col("m.c").alias("n_major"),
+                                             (F.col("total") - F.col("m.c")).alias("n_stray"))
+
+
+def group_links(rows: DataFrame, sets: DataFrame, key: str, block: int, majors: DataFrame | None = None) -> DataFrame:
     """Links between the components of each group of ``rows(key, node, label)``; written.  A group of over ``block`` rows is
-    dealt out as pairs of blocks."""
-    opened = _open(rows, key)
-    many = F.ceil(F.col("members") / block).cast("int")
-    own = F.pmod(F.xxhash64("node", F.lit(1)), many).cast("int")
-    # each row goes to every pair of blocks that its own block is in
-    other = F.explode(F.sequence(F.lit(0), F.col("many") - 1))
-    dealt = opened.select(key, "node", "label", many.alias("many"), own.alias("own")).select("*", other.alias("other")) \
-        .select(F.struct(key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("g"), "node", "label")
+    dealt out in blocks: the strays meet each other and the rows of the major component, which don't meet among themselves."""
+    opened = rows.join(_majors(rows, key) if majors is None else majors, key)
+    blocks = lambda n: F.ceil(F.col(n) / block).cast("int")                # noqa: E731
+    own = lambda n: F.pmod(F.xxhash64("node", F.lit(1)), blocks(n)).cast("int")
+    upto = lambda n: F.sequence(F.lit(0), blocks(n) - 1)                   # noqa: E731
+    group = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+    whole = F.array(group("whole", F.lit(0), F.lit(0)))
+    stray = F.concat(F.transform(upto("n_major"), lambda j: group("major", own("n_stray"), j)),
+                     F.transform(upto("n_stray"), lambda o: group("stray", F.least(own("n_stray"), o), F.greatest(own("n_stray"), o))))
+    major = F.transform(upto("n_stray"), lambda i: group("major", i, own("n_major")))
+    places = F.when(F.col("n_major") + F.col("n_stray") <= block, whole).when(F.col("label") == F.col("major"), major).otherwise(stray)
+    dealt = opened.select(key, "node", "label", F.explode(places).alias("place")).select(F.struct(key, "place").alias("g"), "node", "label")
     work = dealt.join(sets, "node").select(F.xxhash64("g").alias("p"), "g", "node", "label", "sh")
     spread = work.repartition("p").sortWithinPartitions("p", "g").select("g", "node", "label", "sh")
     return written(spread.mapInArrow(_block_links, f"a {NODE}, b {NODE}"), "links")
@@ -320,7 +335,7 @@ def prefix_rows(sets: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.join(same, "sh")
 
 
-def near_classes(docs: DataFrame, trees: int = TREES, least: int = LEAST, depth: int = DEPTH, region: int = REGION) -> DataFrame:
+def near_classes(docs: DataFrame, trees: int = TREES, least: int = LEAST, depth: int = DEPTH, region: int = REGION, strays: int = STRAYS) -> DataFrame:
     """``(doc_id, k, n, class)`` per row of ``docs``; ``class`` is a struct (doc_id, k), the first document of the component."""
     sigs = written(signatures(docs, trees, depth), "signatures")
     name = F.struct("doc_id", "k")
@@ -336,18 +351,25 @@ def near_classes(docs: DataFrame, trees: int = TREES, least: int = LEAST, depth:
     members = tree.filter("size > 2").dropDuplicates(["gid", "node"]).select("gid", "node")
     links = links.union(group_links(_labelled(members, components(links)), sets, "gid", region))
     # round 3: cut regions of several components
-    parted = tree.filter("cut").select("run", "node").distinct()
-    if not parted.isEmpty():
-        wanted = written(_open(_labelled(parted, components(links)), "run").select("node").distinct(), "parted")
+    known = written(components(links), "known")
+    parted = _labelled(tree.filter("cut").select("run", "node").distinct(), known)
+    majors = written(_majors(parted, "run"), "majors")
+    if not majors.isEmpty():
+        few = F.col("n_stray") <= strays
+        parted = written(parted.join(majors.select("run", few.alias("few")), "run"), "parted")
+        new = [group_links(parted.filter("few").drop("few"), sets, "run", BLOCK, majors.filter(few))]
+        wanted = written(parted.filter("NOT few").select("node").distinct(), "wanted")
         if not wanted.isEmpty():
-            buckets = written(prefix_rows(sets, wanted), "prefixes")
-            first = buckets.groupBy("sh").agg(F.min("node").alias("least"))
-            known = components(links)
-            tried = _open(_labelled(buckets, known), "sh").select("sh", "node").join(first, "sh") \
-                .select(F.col("node").alias("a"), F.col("least").alias("b"))
-            links = links.union(verified(tried, sets))
-            links = links.union(group_links(_labelled(buckets, components(links)), sets, "sh", 8 * region))
-    named = nodes.select("s1", "s2", "node").join(components(links).withColumnRenamed("label", "class"), "node", "left") \
+            buckets = _labelled(written(prefix_rows(sets, wanted), "prefixes"), known)
+            opened = written(_open(buckets, "sh"), "buckets")
+            first = opened.groupBy("sh").agg(F.min("node").alias("least"))
+            new.append(verified(opened.join(first, "sh").select(F.col("node").alias("a"), F.col("least").alias("b")), sets))
+            rest = opened.filter("members > 2").select("sh", "node")
+            new.append(group_links(_labelled(rest, components(links.union(new[0]).union(new[1]))), sets, "sh", BLOCK))
+        for more in new:
+            links = links.union(more)
+        known = components(links)
+    named = nodes.select("s1", "s2", "node").join(known.withColumnRenamed("label", "class"), "node", "left") \
         .select("s1", "s2", F.coalesce("class", "node").alias("class"))
     full = sigs.filter("n > 0").join(named, ["s1", "s2"]).select("doc_id", "k", "n", "class")
     return full.union(sigs.filter("n = 0").select("doc_id", "k", "n", name.alias("class")))

@@ -47,7 +47,7 @@ def got_components(docs, **options):
     return {r.doc_id: (r.n_shingles, r.component_id) for r in rows}
 
 
-@pytest.mark.parametrize("options", [{}, {"region": 2}])
+@pytest.mark.parametrize("options", [{}, {"region": 2, "strays": 0}])
 def test_components_equal_all_pairs(spark, sf, options):
     docs = table(spark, sf, "documents")
     assert got_components(docs.repartition(3), **options) == all_pairs({r.doc_id: r.text for r in docs.collect()})
@@ -64,12 +64,14 @@ def near_texts(rng, n, changes, words=120):
     return out
 
 
-def test_large_group_over_many_partitions(spark):
+def test_large_group_over_many_partitions(spark, monkeypatch):
     """Copies at most 12 of 120 words apart: some are linked with few others only; regions are cut."""
     rng = random.Random(4)
     texts = near_texts(rng, 160, 12)
     texts += texts[:10]
-    for options in ({"region": 4}, {"region": 4, "least": 1, "trees": 3, "depth": 2}):
+    dense = {"region": 4, "least": 1, "trees": 3, "depth": 2}
+    monkeypatch.setattr(forest, "BLOCK", 16)
+    for options in ({"region": 4}, dense, {**dense, "strays": 0}):
         assert got_components(documents(spark, texts).repartition(5), **options) == all_pairs(dict(enumerate(texts)))
 
 
@@ -89,20 +91,25 @@ def test_cut_regions_lose_no_link(spark, monkeypatch):
     want = all_pairs(dict(enumerate(texts)))
     # every near pair must share the one label value for this test to be exact: keep those that do
     value = [int(forest.labels(forest.shingle_set(t.encode()), 1, 1)[0, 0]) for t in texts]
-    got = got_components(documents(spark, texts), trees=1, least=1, depth=1, region=2)
-    for d, (n, c) in want.items():
-        if c == d or value[c] == value[d]:
-            assert got[d] == (n, c)
+    for strays in (0, 1024):
+        got = got_components(documents(spark, texts), trees=1, least=1, depth=1, region=2, strays=strays)
+        for d, (n, c) in want.items():
+            if c == d or value[c] == value[d]:
+                assert got[d] == (n, c)
 
 
 @pytest.mark.parametrize("block", [2, 5])
 def test_blocks_of_a_group(spark, block):
     rng = random.Random(block)
     texts = near_texts(rng, 20, 9, 60)
+    texts[:8] = near_texts(rng, 8, 1, 60)
     rows = [((d, d), forest.shingle_set(t.encode()).tobytes()) for d, t in enumerate(texts)]
     sets = spark.createDataFrame([(n, bytearray(s)) for n, s in rows], f"node {forest.NODE}, sh binary")
-    groups = spark.createDataFrame([(1, n, n) for n, _ in rows], f"g1 long, node {forest.NODE}, label {forest.NODE}")
+    # the first eight are one component before
+    groups = spark.createDataFrame([(1, n, n if i > 7 else (0, 0)) for i, (n, _) in enumerate(rows)], f"g1 long, node {forest.NODE}, label {forest.NODE}")
     links = {(r.a.doc_id, r.b.doc_id) for r in forest.group_links(groups, sets, "g1", block).collect()}
+    assert not any(a < 8 and b < 8 for a, b in links)
+    links |= {(0, i) for i in range(8)}
     up = list(range(20))
     for a, b in list(links) * 20:
         up[a] = up[b] = min(up[a], up[b])
