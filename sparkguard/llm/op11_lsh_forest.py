@@ -278,6 +278,22 @@ def _labelled(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
+def _joined(known: DataFrame, links: DataFrame) -> DataFrame:
+    """``known(node, label)`` after further ``links(a, b)``, written: only the links' labels make the graph, not the nodes."""
+    if links.isEmpty():
+        return known
+    ends = links
+    for side in ("a", "b"):
+        named = known.select(F.col("node").alias(side), F.col("label").alias(f"of_{side}"))
+        ends = ends.join(named, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
+    ends = written(ends, "ends")
+    top = components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))).toDF("old", "new")
+    single = ends.select(F.col("a").alias("node")).union(ends.select("b")).distinct().join(known, "node", "left_anti") \
+        .select("node", F.col("node").alias("label"))
+    both = known.union(single)
+    return written(both.join(top, both["label"] == top["old"], "left").select("node", F.coalesce("new", "label").alias("label")), "known")
+
+
 def _open(rows: DataFrame, key: str) -> DataFrame:
     """The rows of groups (``key``) that hold several components."""
     groups = rows.groupBy(key).agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members")) \
@@ -346,29 +362,25 @@ def near_classes(docs: DataFrame, trees: int = TREES, least: int = LEAST, depth:
     heads = tree.select(F.col("node").alias("a"), F.col("first").alias("b")) \
         .union(tree.filter("before != first").select("first", "before")) \
         .union(tree.filter("least IS NOT NULL AND node = first").select("first", "least"))
-    links = verified(heads, sets)
+    known = written(components(verified(heads, sets)), "known")
     # round 2: regions of several components
     members = tree.filter("size > 2").dropDuplicates(["gid", "node"]).select("gid", "node")
-    links = links.union(group_links(_labelled(members, components(links)), sets, "gid", region))
+    known = _joined(known, group_links(_labelled(members, known), sets, "gid", region))
     # round 3: cut regions of several components
-    known = written(components(links), "known")
     parted = _labelled(tree.filter("cut").select("run", "node").distinct(), known)
     majors = written(_majors(parted, "run"), "majors")
     if not majors.isEmpty():
         few = F.col("n_stray") <= strays
         parted = written(parted.join(majors.select("run", few.alias("few")), "run"), "parted")
-        new = [group_links(parted.filter("few").drop("few"), sets, "run", BLOCK, majors.filter(few))]
         wanted = written(parted.filter("NOT few").select("node").distinct(), "wanted")
+        known = _joined(known, group_links(parted.filter("few").drop("few"), sets, "run", BLOCK, majors.filter(few)))
         if not wanted.isEmpty():
-            buckets = _labelled(written(prefix_rows(sets, wanted), "prefixes"), known)
-            opened = written(_open(buckets, "sh"), "buckets")
+            buckets = written(prefix_rows(sets, wanted), "prefixes")
+            opened = written(_open(_labelled(buckets, known), "sh"), "buckets")
             first = opened.groupBy("sh").agg(F.min("node").alias("least"))
-            new.append(verified(opened.join(first, "sh").select(F.col("node").alias("a"), F.col("least").alias("b")), sets))
+            known = _joined(known, verified(opened.join(first, "sh").select(F.col("node").alias("a"), F.col("least").alias("b")), sets))
             rest = opened.filter("members > 2").select("sh", "node")
-            new.append(group_links(_labelled(rest, components(links.union(new[0]).union(new[1]))), sets, "sh", BLOCK))
-        for more in new:
-            links = links.union(more)
-        known = components(links)
+            known = _joined(known, group_links(_labelled(rest, known), sets, "sh", BLOCK))
     named = nodes.select("s1", "s2", "node").join(known.withColumnRenamed("label", "class"), "node", "left") \
         .select("s1", "s2", F.coalesce("class", "node").alias("class"))
     full = sigs.filter("n > 0").join(named, ["s1", "s2"]).select("doc_id", "k", "n", "class")
