@@ -62,6 +62,26 @@ class EliasFano:
         at = byte * 8 + (word & -word).bit_length() - 1
         return (at - i << self.l) | (self._low(i) if self.l else 0)
 
+    def select_range(self, first: int, last: int) -> np.ndarray:
+        """The values first..last-1: only the bits between their two samples are looked at."""
+        if not 0 <= first <= last <= self.n:
+            raise IndexError((first, last))
+        if first == last:
+            return np.empty(0, np.uint64)
+        samples = np.frombuffer(self.samples, "<u4")
+        run, after = first // SELECT_EVERY, -(-last // SELECT_EVERY)
+        begin = int(samples[run])
+        end = int(samples[after]) if after < len(samples) else 8 * len(self.high)
+        bits = np.unpackbits(np.frombuffer(self.high[begin // 8:(end + 7) // 8], np.uint8), bitorder="little")
+        ones = np.flatnonzero(bits) + begin // 8 * 8
+        ones = ones[ones >= begin][first - run * SELECT_EVERY:last - run * SELECT_EVERY]
+        v = (ones - np.arange(first, last)).astype(np.uint64) << np.uint64(self.l)
+        if self.l:
+            at, n = first * self.l, (last - first) * self.l
+            bits = np.unpackbits(np.frombuffer(self.low[at // 8:(at + n + 7) // 8], np.uint8), bitorder="little")[at % 8:at % 8 + n]
+            v |= bits.reshape(-1, self.l).astype(np.uint64) @ (np.uint64(1) << np.arange(self.l, dtype=np.uint64))
+        return v
+
     def decode(self) -> np.ndarray:
         """All values."""
         if not self.n:

@@ -10,7 +10,7 @@ Hadoop store can hold it):
 * ``index``: one row per part: ``first_doc`` and ``first_token`` in the whole dataset.
 
 No 64-bit offset per document is stored: boundaries and doc_ids take about 2 + log2(mean gap) bits each.
-Offsets come from ``EliasFano.select`` / ``decode`` plus the two sums.
+Offsets come from ``EliasFano.select`` / ``select_range`` plus the two sums.
 
 Documents stand in ascending doc_id order, null ids first; rows with equal doc_id stand side by side, ordered by text.
 A null or empty text is the end id alone.  An empty table gives an empty dataset.  Other columns are ignored.
@@ -26,10 +26,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import id_and_text, scratch_path
-from .eliasfano import EliasFano
+from .eliasfano import SELECT_EVERY, EliasFano
 from .tokens import default_tokenizer, encoder
 
 SEGMENT_TOKENS = 1 << 16
+#: Documents whose boundaries are read at once: a few select samples.
+READ_RUN = 4 * SELECT_EVERY
+#: Characters of the text that, after the doc_id, part rows of equal or null doc_ids over tasks.
+SPLIT_CHARS = 32
 EF = "struct<n: long, l: int, low: binary, high: binary, samples: binary>"
 DATA_SCHEMA = ("part int, seg int, doc0 long, token0 long, n_docs long, n_tokens long, width int, ids binary, "
                f"ends {EF}, id0 long, n_null long, doc_ids {EF}")
@@ -78,14 +82,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                  segment_tokens: int = SEGMENT_TOKENS) -> None:
     """Encode every text, append ``end_id`` and write the dataset folder ``path``.
 
-    One shuffle: rows are range-partitioned on doc_id, sorted inside the partition (external sort) and encoded there.
+    One shuffle: rows are range-partitioned on doc_id and the beginning of the text (so many rows of one doc_id, or of none,
+    are several partitions in the same order), sorted inside the partition (external sort) and encoded there.
     The index is written last; a folder without one is incomplete.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     spark = docs.sparkSession
     schema = spark.createDataFrame([], DATA_SCHEMA).schema
     run = _encode_partition(tokenizer or default_tokenizer(), end_id, segment_tokens, to_arrow_schema(schema))
-    (id_and_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    (id_and_text(docs).repartitionByRange("doc_id", F.substring("text", 1, SPLIT_CHARS)).sortWithinPartitions("doc_id", "text")
      .mapInArrow(run, schema).write.option("compression", "zstd").parquet(f"{path}/data"))
     parts = (spark.read.schema(schema).parquet(f"{path}/data").groupBy("part")
              .agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")))
@@ -104,15 +109,17 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _each_document(row: dict) -> Iterator[tuple[int | None, int, np.ndarray]]:
-    """(doc_id, start, ids) of a segment's documents."""
+    """(doc_id, start, ids) of a segment's documents; boundaries and doc_ids come from the select structures, a run of samples
+    at a time."""
     ids = np.frombuffer(row["ids"], f"<u{row['width']}")
-    ends = EliasFano(**row["ends"]).decode().tolist()
-    gaps = EliasFano(**row["doc_ids"]).decode()
-    known = (gaps + np.array(row["id0"], np.int64).view(np.uint64)).view(np.int64).tolist()
-    at = 0
-    for doc, end in zip([None] * row["n_null"] + known, ends):
-        yield doc, row["first_token"] + at, ids[at:end]
-        at = end
+    ends, gaps, nulls = EliasFano(**row["ends"]), EliasFano(**row["doc_ids"]), row["n_null"]
+    id0, at = np.array(row["id0"], np.int64).view(np.uint64), 0
+    for first in range(0, ends.n, READ_RUN):
+        last = min(first + READ_RUN, ends.n)
+        known = (gaps.select_range(max(0, first - nulls), max(0, last - nulls)) + id0).view(np.int64).tolist()
+        for doc, end in zip([None] * (last - first - len(known)) + known, ends.select_range(first, last).tolist()):
+            yield doc, row["first_token"] + at, ids[at:end]
+            at = end
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

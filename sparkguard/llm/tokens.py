@@ -1,6 +1,7 @@
 """Encoding texts with a public tokenizer file, per task, through a bounded cache of white-space chunks."""
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -10,8 +11,9 @@ import numpy as np
 CACHE_CHUNKS = 500_000
 #: Texts whose chunks are looked up together.
 TEXTS_AT_ONCE = 256
-#: Marks that, as a run after letters, are one pre-token of their own.
-MARKS = ".,;:!?*$%&#|()"
+#: Latin letters (all below U+0250 but the dotted capital I, whose lower case is two characters), then a run of marks that is
+#: one pre-token of its own.
+SIMPLE = re.compile("([A-Za-zªµºÀ-ÖØ-öø-\u012f\u0131-\u024f]+)([.,;:!?*$%&#|()]*)").fullmatch
 
 
 def default_tokenizer() -> str:
@@ -51,37 +53,35 @@ class ChunkEncoder:
 
     def _learn(self, chunks: Iterable[str]) -> dict[str, bytes]:
         """The ids of chunks that aren't known, as bytes."""
-        split, words, single = {}, set(), []
+        known, split, words, single = self.known, [], set(), []
         for c in chunks:
-            low = c.lower()
-            if c and max(c) < "ɐ" and "İ" not in c and "<|" not in c:
-                body = low.rstrip(MARKS)
-                if body.isalpha():
-                    tail = low[len(body):]
-                    split[c] = (body, tail)
-                    words.add(body)
-                    if tail:
-                        words.add(tail)
-                    continue
-            single.append(c)
-        words = [w for w in words if w not in self.known]
+            hit = SIMPLE(c)
+            if hit:
+                body, tail = hit[1].lower(), hit[2]
+                split.append((c, body, tail))
+                words.add(body)
+                if tail:
+                    words.add(tail)
+            else:
+                single.append(c)
+        words = [w for w in words if w not in known]
         new: dict[str, bytes] = {}
         if words:
-            ids = np.array(self.tok.encode(" ".join(words), add_special_tokens=False).ids, self.dtype)
+            (all_words,) = self.tok.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+            ids = np.array(all_words.ids, self.dtype)
             cut = np.flatnonzero(self.ends[ids]) + 1
             if len(cut) == len(words) and cut[-1] == len(ids):
-                raw, size, at = ids.tobytes(), self.dtype.itemsize, 0
-                for w, end in zip(words, cut.tolist()):
-                    new[w] = raw[at * size:end * size]
-                    at = end
+                raw = ids.tobytes()
+                ends = (cut * self.dtype.itemsize).tolist()
+                new = {w: raw[a:b] for w, a, b in zip(words, [0, *ends], ends)}
             else:
-                single += [w for w in words if w not in split]
+                single += set(words).difference(c for c, _, _ in split)
         for c, e in zip(single, self.tok.encode_batch_fast(single, add_special_tokens=False) if single else ()):
             new[c] = np.array(e.ids, self.dtype).tobytes()
-        for c, (body, tail) in split.items():
-            parts = [new.get(x, self.known.get(x)) for x in (body, tail) if x]
-            new[c] = (b"".join(parts) if None not in parts
-                      else np.array(self.tok.encode(c, add_special_tokens=False).ids, self.dtype).tobytes())
+        for c, body, tail in split:
+            ids = new.get(body) or known.get(body)
+            marks = (new.get(tail) or known.get(tail)) if tail else b""
+            new[c] = ids + marks if ids and marks is not None else np.array(self.tok.encode(c, add_special_tokens=False).ids, self.dtype).tobytes()
         return new
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:

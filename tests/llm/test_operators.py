@@ -38,6 +38,8 @@ def test_elias_fano_round_trip(values, zeros):
     v = sorted(values + [0] * zeros)
     ef = EliasFano.encode(np.array(v, np.uint64))
     assert ef.decode().tolist() == v and [ef.select(i) for i in range(len(v))] == v
+    for first, last in ((0, len(v)), (len(v) // 3, len(v) // 2), (min(64, len(v)), len(v)), (len(v) // 2, len(v) // 2)):
+        assert ef.select_range(first, last).tolist() == v[first:last]
 
 
 def test_elias_fano_is_small():
@@ -70,6 +72,23 @@ def test_token_files(spark, docs, texts, whole_encoder, tmp_path):
     assert {r.doc_no: r.ids for r in op2_token_binary.read_ids(spark, path, wanted).collect()} == {n: ids[n] for n in wanted}
 
 
+def test_rows_of_one_doc_id_stand_in_text_order(spark, tmp_path):
+    """Null and equal doc_ids are dealt out by their texts; the files keep (doc_id, text) order."""
+    rng = random.Random(1)
+    rows = [(rng.choice([None, None, 7, 9]), "".join(rng.choice("abc ") for _ in range(rng.randint(0, 40)))) for _ in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path = str(tmp_path / "tokens")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    op2_token_binary.write_tokens(docs.repartition(6), path, segment_tokens=300)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(f"{path}/data").select("part").distinct().count() > 3
+    got = op2_token_binary.read_documents(spark, path).orderBy("doc_no").collect()
+    assert [r.doc_no for r in got] == list(range(700))
+    enc, want = ChunkEncoder(default_tokenizer()), sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    for (doc, _), ids, r in zip(want, enc.encode([t for _, t in want]), got):
+        assert (r.doc_id, r.n_tokens, r.ids_crc32) == (doc, len(ids) + 1, zlib.crc32(np.append(ids, 1).astype("<u4").tobytes()))
+
+
 def test_token_counts(docs, texts, whole_encoder):
     got = {r.doc_id: r.n_tokens for r in op4_token_counts.corpus_token_counts(docs.repartition(3)).collect()}
     assert got == {d: len(whole_encoder.encode(t or "", add_special_tokens=False).ids) for d, t in texts.items()}
