@@ -16,7 +16,7 @@ from .ranked import prefix_sums
 GOOD_BAND = 0.9
 MEDIUM_BAND = 0.7
 PRODUCTION_AUC = 0.95
-LOGIT_GRID = 256  # score buckets per logit unit (prefix-sum buckets)
+COARSE, FINE = 32, 32  # ranges of distinct scores per model that prefix sums are taken in
 
 
 def _z(x: Column) -> Column:
@@ -97,12 +97,19 @@ def classification_report(scored: DataFrame) -> DataFrame:
     return c.select("model", F.inline(F.array(*rows)))
 
 
-def score_bucket(p: Column, grid: int = LOGIT_GRID) -> Column:
-    """Monotone bucket of a probability on a logit grid (fine near 0 and 1,
-    where fraud scores pile up)."""
-    logit = F.log(p) - F.log(F.lit(1.0) - p)
-    return (F.when(p <= 0, F.lit(-(10 ** 9))).when(p >= 1, F.lit(10 ** 9))
-            .otherwise(F.floor(F.greatest(F.lit(-60.0), F.least(F.lit(60.0), logit)) * grid))).cast("long")
+def score_ranges(distinct: DataFrame, group: str = "model", score: str = "y_prob") -> DataFrame:
+    """``distinct`` with ``_range``, the place of the score among approximate quantiles of its group's distinct scores.
+
+    The edges (``COARSE`` x ``FINE`` - 1 values per group at most) follow the data, so scores that lie close together are dealt out
+    like any others.  A row looks through the coarse edges, then through the fine ones between two of them."""
+    n = COARSE * FINE
+    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
+    edges = distinct.groupBy(group).agg(F.percentile_approx(score, probs, 10 * n).alias("_fine"))
+    coarse = F.transform(F.sequence(F.lit(1), F.lit(COARSE - 1)), lambda i: F.element_at("_fine", i * FINE))
+    below = lambda values: F.size(F.filter(values, lambda e: e < F.col(score)))
+    out = distinct.join(F.broadcast(edges.withColumn("_coarse", coarse)), group).withColumn("_c", below(F.col("_coarse")))
+    fine = F.slice(F.col("_fine"), F.greatest(F.col("_c") * FINE, F.lit(1)), F.lit(FINE))
+    return out.withColumn("_range", F.col("_c") * (FINE + 1) + below(fine)).drop("_fine", "_coarse", "_c")
 
 
 def score_table(scored: DataFrame) -> DataFrame:
@@ -112,7 +119,7 @@ def score_table(scored: DataFrame) -> DataFrame:
     agg = (scored.where(F.col("y_prob").isNotNull())
            .groupBy("model", "y_prob")
            .agg(F.count_if(F.col("y_true") == 1).alias("pos"), F.count_if(F.col("y_true") != 1).alias("neg")))
-    return prefix_sums(agg, ["model"], "y_prob", score_bucket(F.col("y_prob")), ["pos", "neg"])
+    return prefix_sums(score_ranges(agg), ["model"], "y_prob", F.col("_range"), ["pos", "neg"]).drop("_range")
 
 
 def auc_ap(scored: DataFrame) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from ..operators import curves as CV
 from ..operators import explain as X
 from ..operators import metrics as M
+from ..operators import tree_shap as TS
+from ..operators.boosting import BoostedModel
+from ..session import cut_lineage
 
 
 def evaluate_pipeline(scored: DataFrame, fitted: dict | None = None, test: DataFrame | None = None,
@@ -28,6 +31,11 @@ def evaluate_pipeline(scored: DataFrame, fitted: dict | None = None, test: DataF
     if fitted and test is not None and features:
         name = best.first()["best_model"]
         out["permutation_importance"] = X.permutation_importance(fitted[name], test, features)
+        exact = isinstance(fitted[name], BoostedModel) or type(fitted[name]).__name__ == "GBTClassificationModel"
+        phi = TS.tree_shapley(fitted[name], test, features) if exact else X.shapley_values(fitted[name], test, features)
+        phi = cut_lineage(phi, "shap")
+        out |= {"shapley": phi, "shap_summary": X.shap_summary(phi), "shap_top3": X.shap_top(phi, 3),
+                "shap_dependence": X.shap_dependence(phi, 3)}
     return out
 
 

@@ -156,3 +156,36 @@ def _():
     body = f"SELECT *, 'before' AS stage FROM ({bb}) UNION ALL SELECT *, 'after' AS stage FROM ({ba})"
     cols = ["column", "bin", "lo_edge", "hi_edge", "count", "stage"]
     return with_fixtures(rounded(body, cols, ["lo_edge", "hi_edge"]), *SPLIT_CTES, TR, std_params(), scaled, *cb, *ca)
+
+
+# ---- boosted models -----------------------------------------------------------------------------------------
+@oracle("boosted_split")
+def _():
+    from .q_models import STUMP_COLS
+    w = "CASE WHEN Class = 1 THEN 5.0::DOUBLE ELSE 1.0::DOUBLE END"
+    cuts = " UNION ALL ".join(f"SELECT {i} AS o, '{c}' AS feature, quantile_cont({c}, {q}) AS cut FROM transactions"
+                              for i, c in enumerate(STUMP_COLS) for q in (0.25, 0.5, 0.75))
+    sums = " UNION ALL ".join(
+        f"SELECT o, feature, cut, sum(g) FILTER (WHERE {c} <= cut) AS gl, sum(h) FILTER (WHERE {c} <= cut) AS hl, "
+        f"count(*) FILTER (WHERE {c} <= cut) AS n_left, sum(g) AS gt, sum(h) AS ht, count(*) AS n FROM gh, cuts WHERE feature = '{c}' "
+        "GROUP BY o, feature, cut" for c in STUMP_COLS)
+    body = ("SELECT feature, round(cut, 6) AS threshold, round(gain, 6) AS gain, n_left, n - n_left AS n_right, "
+            "round(-gl / (hl + 1), 6) AS left_value, round(-(gt - gl) / (ht - hl + 1), 6) AS right_value FROM gains "
+            "WHERE hl >= 1 AND ht - hl >= 1 ORDER BY gain DESC, o, cut LIMIT 1")
+    return with_fixtures(body, f"cuts AS (SELECT DISTINCT * FROM ({cuts}))",
+                         f"gh AS (SELECT *, {w} * (0.5 - Class) AS g, {w} * 0.25 AS h FROM transactions)", f"sums AS ({sums})",
+                         "gains AS (SELECT *, (gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1)) / 2 AS gain FROM sums)")
+
+
+@oracle("boosting_checks")
+def _():
+    from ..operators.models import BASE_PARAMS, BOOSTED
+    rows = ", ".join(f"('{m}', {BASE_PARAMS[m]['n_estimators']})" for m in sorted(BOOSTED))
+    return f"SELECT model, n_trees, true AS within_limits, true AS unequal_depth FROM (VALUES {rows}) t(model, n_trees)"
+
+
+@oracle("load_models")
+def _():
+    body = ("SELECT model, count(*) AS n, count(*) AS n_same FROM sp CROSS JOIN (VALUES ('logistic_regression'), ('lightgbm')) m(model) "
+            "WHERE split = 'test' GROUP BY model")
+    return with_fixtures(body, *SPLIT_CTES)

@@ -5,16 +5,24 @@ built once per session and data directory (checkpointed) and shared.
 """
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import boosting as BO
 from ..operators import explain as X
 from ..operators import metrics as M
 from ..operators import models as ML
+from ..operators import quantiles as QT
+from ..operators import tree_shap as TS
+from ..session import cut_lineage, shared_dir
+from ..sources import models_io as IO
 from . import preprocess as PP
-from .registry import dirty, query
+from .registry import dirty, query, tx
 
 _CACHE: dict = {}
 
@@ -144,7 +152,7 @@ def permutation_importance_q(spark, d):
 
 def _shap(spark, d):
     tr, te, feats = split(spark, d)
-    return _memo(spark, d, "shap", lambda: X.shapley_values(fitted_tree(spark, d), te, feats, n_perm=4))
+    return _memo(spark, d, "shap", lambda: cut_lineage(TS.tree_shapley(fitted_tree(spark, d), te, feats), "shap"))
 
 
 @query("shapley_values")
@@ -193,3 +201,50 @@ def importance_checks_q(spark, d):
     return tree_importance_q(spark, d).agg(
         F.count(F.lit(1)).alias("n_features"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("adds_up"),
         (F.min("importance") >= 0).alias("none_negative"))
+
+
+#: Edges of the one-split check: the quartiles of these columns.
+STUMP_COLS = ["Time", "Amount", "V1", "V2", "V3", "V14", "V17"]
+
+
+@query("boosted_split")
+def boosted_split_q(spark, d):
+    """One second-order split over all transactions, between the exact quartiles: cut, gain, sizes and leaf values."""
+    rows = tx(spark, d)
+    found = QT.exact_quantile_values(rows, STUMP_COLS, [0.25, 0.5, 0.75])
+    edges = [np.unique([found[i, j] for j in range(3)]) for i in range(len(STUMP_COLS))]
+    tree, = BO.stump(rows, STUMP_COLS, edges, replace(BO.SECOND_ORDER, positive_weight=5.0)).trees
+    f, cut = STUMP_COLS[tree.feature[0]], float(tree.threshold[0])
+    left = F.count_if(F.col(f) <= cut)
+    return rows.agg(left.alias("n_left"), (F.count(F.lit(1)) - left).alias("n_right")).select(
+        F.lit(f).alias("feature"), F.lit(cut).alias("threshold"), F.lit(float(tree.gain[0])).alias("gain"), "n_left", "n_right",
+        F.lit(float(tree.value[tree.left[0]])).alias("left_value"), F.lit(float(tree.value[tree.right[0]])).alias("right_value"))
+
+
+@query("boosting_checks")
+def boosting_checks_q(spark, d):
+    """Per boosted model: trees, whether the leaf or depth limit holds, and whether some tree's leaves differ in depth."""
+    rows = []
+    for name in sorted(ML.BOOSTED):
+        model = base_model(spark, d, name)[0][name]
+        depths = [t.depths() for t in model.trees]
+        p = model.params
+        rows.append((name, len(depths), all((not p.leaves or len(x) <= p.leaves) and (not p.depth or x.max() <= p.depth) for x in depths),
+                     any(x.min() < x.max() for x in depths)))
+    return spark.createDataFrame([(a, b, bool(c), bool(e)) for a, b, c, e in rows], "model string, n_trees int, within_limits boolean, unequal_depth boolean")
+
+
+@query("load_models")
+def load_models_q(spark, d):
+    """Save the boosted and the logistic model, read them back through the registry and score the test rows again: rows, and
+    rows whose probability is the saved model's to 1e-12."""
+    tr, te, feats = split(spark, d)
+    folder = shared_dir(spark, f"models-{uuid.uuid4().hex}")
+    names = ["logistic_regression", "lightgbm"]
+    for name in names:
+        IO.save_model(base_model(spark, d, name)[0][name], folder, name)
+    again = IO.load_models(IO.model_registry(spark, folder))
+    new = reduce(DataFrame.unionByName, [ML.score(again[name], te, feats, name) for name in names])
+    old = reduce(DataFrame.unionByName, [_fit_score(spark, d, name) for name in names])
+    both = old.join(new.select("model", "id", F.col("y_prob").alias("again")), ["model", "id"])
+    return both.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.abs(F.col("y_prob") - F.col("again")) < 1e-12).alias("n_same"))

@@ -23,7 +23,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None or (isinstance(v, float) and v != v):
+    if v is None or v is pd.NA or (isinstance(v, float) and v != v):
         return "∅"
     if isinstance(v, float):
         return repr(round(v, 6) + 0.0)
@@ -43,7 +43,8 @@ def frame_hash(df: pd.DataFrame) -> str:
 def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as E
-    sdf = E.queries()[name](spark, sf_dir).toPandas()
+    # whole numbers beside nulls stay whole numbers, as DuckDB's frames keep them
+    sdf = E.queries()[name](spark, sf_dir).toArrow().to_pandas(integer_object_nulls=True, date_as_object=True)
     res = {"name": name, "spark_rows": len(sdf)}
     sql = E.oracle_sql().get(name)
     if sql is None:
