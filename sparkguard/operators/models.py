@@ -165,6 +165,14 @@ def fit_model(train: DataFrame, features: list[str], model: str, params: dict |
     return fitted
 
 
+def fit_boosted(train: DataFrame, features: list[str], params: dict[str, dict | None]) -> dict[str, boosting.BoostedModel]:
+    """Several boosted models (name -> parameters) grown side by side on one binned table."""
+    if not params:
+        return {}
+    binned = boosting.bin_features(train, features)
+    return dict(zip(params, boosting.fit_many(binned, [boosting_params(m, p) for m, p in params.items()])))
+
+
 def score(fitted, df: DataFrame, features: list[str], model: str) -> DataFrame:
     """``(model, id, y_true, y_prob, y_pred)`` with y_prob = P(class 1)."""
     a = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep").transform(df)
@@ -177,9 +185,11 @@ def score(fitted, df: DataFrame, features: list[str], model: str) -> DataFrame:
 def train_all_base(train: DataFrame, test: DataFrame, features: list[str],
                    models: list[str] | None = None) -> tuple[dict, DataFrame]:
     """Fit every base model; return (fitted models, unioned scored test rows)."""
+    models = models or MODEL_NAMES
     fitted, scored = {}, None
-    for m in models or MODEL_NAMES:
-        fitted[m] = fit_model(train, features, m)
+    boosted = fit_boosted(train, features, {m: None for m in models if m in BOOSTED})
+    for m in models:
+        fitted[m] = boosted[m] if m in boosted else fit_model(train, features, m)
         s = score(fitted[m], test, features, m)
         scored = s if scored is None else scored.unionByName(s)
     return fitted, scored

@@ -36,9 +36,10 @@ def clean_and_engineer(df: DataFrame, dedup: bool = True) -> DataFrame:
 
 
 def preprocess(df: DataFrame, test_size: float = 0.2, seed: int = 42, scaler: str = "standard",
-               dedup: bool = True, fit_on: str = "all", resample: bool = True, scale_first: bool = False
-               ) -> tuple[DataFrame, list[str], DataFrame]:
-    """Returns (processed table with ``split``, feature names, scaler params)."""
+               dedup: bool = True, fit_on: str = "all", resample: bool = True, scale_first: bool = False,
+               max_levels: int = 1000) -> tuple[DataFrame, list[str], DataFrame]:
+    """Returns (processed table with ``split``, feature names, scaler params).  ``max_levels`` bounds the levels of a categorical
+    column (one output column each); a column with more raises."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     eng = cut_lineage(clean_and_engineer(df, dedup), "engineered")  # several fits read it
@@ -51,7 +52,7 @@ def preprocess(df: DataFrame, test_size: float = 0.2, seed: int = 42, scaler: st
         params = C.fit_caps(split0.where(F.col("split") == "train"), num)
         split = C.cap_outliers(split0, num, params=params)
     split = cut_lineage(split, "split")
-    train = FE.one_hot_categoricals(split.where(F.col("split") == "train"))
+    train = FE.one_hot_categoricals(split.where(F.col("split") == "train"), max_levels=max_levels)
     test = split.where(F.col("split") == "test")
     feats = model_features(train)
     train = train.withColumns({c: F.col(c).cast("double") for c in feats})

@@ -56,6 +56,9 @@ def tuned_lr(spark, d):
 def base_model(spark, d, model):
     """A base model with the scored test rows, fitted once per session and data set."""
     tr, te, feats = split(spark, d)
+    if model in ML.BOOSTED:       # the boosted models share their passes over the binned rows
+        fitted = _memo(spark, d, "base:boosted", lambda: ML.fit_boosted(tr, feats, {m: None for m in sorted(ML.BOOSTED)}))
+        return {model: fitted[model]}, ML.score(fitted[model], te, feats, model)
     return _memo(spark, d, f"base:{model}", lambda: ML.train_all_base(tr, te, feats, [model]))
 
 
