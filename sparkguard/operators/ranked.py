@@ -66,20 +66,28 @@ def first_in_order(df: DataFrame, key: Column, tiebreak: str, partition_cols: li
     shuffled.  Compare ``struct(key, tiebreak) <= _cut`` to tell the first ``quota`` rows; ``_cut`` is NULL for quota 0.
     """
     parts = list(partition_cols)
+    cut = order_statistics(df, key, tiebreak, parts, counts, quotas).select(*parts, "_cut")
+    keep = quotas.select(*parts)
+    return null_safe_join(keep, cut, parts, "left") if parts else keep.join(F.broadcast(cut), F.lit(True), "left")
+
+
+def order_statistics(df: DataFrame, key: Column, tiebreak: str, partition_cols: list[str], counts: DataFrame,
+                     quotas: DataFrame) -> DataFrame:
+    """``(*strata, quota, _cut)``: the ``(key, tiebreak)`` of the ``quota``-th row for each row of ``quotas``, of which
+    a stratum may have several (different ones).  Quotas below 1 have no row; those above the stratum's size name its last."""
+    parts = list(partition_cols)
     w = Window.partitionBy(*parts).orderBy("_b")
     offs = counts.select(*parts, "_b", "_bn", F.sum("_bn").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"))
     offs = null_safe_join(offs, quotas, parts) if parts else offs.crossJoin(F.broadcast(quotas))
     total = F.sum("_bn").over(Window.partitionBy(*parts))
     offs = offs.withColumn("_want", F.least("quota", total)) \
         .where((F.col("_want") > F.col("_upto") - F.col("_bn")) & (F.col("_want") <= F.col("_upto"))) \
-        .select(*parts, "_b", (F.col("_want") - F.col("_upto") + F.col("_bn")).alias("_nth"))
+        .select(*parts, "_b", "quota", (F.col("_want") - F.col("_upto") + F.col("_bn")).alias("_nth"))
     rows = df.select(*parts, key.alias("_key"), F.col(tiebreak).alias("_id")) \
         .withColumn("_b", F.substring("_key", 1, DEFAULT_BUCKET_HEX))
     edge = null_safe_join(rows, offs, [*parts, "_b"])
-    nth = F.row_number().over(Window.partitionBy(*parts, "_b").orderBy("_key", "_id"))   # one bucket per stratum
-    cut = edge.withColumn("_rn", nth).where("_rn = _nth").select(*parts, F.struct("_key", "_id").alias("_cut"))
-    keep = quotas.select(*parts)
-    return null_safe_join(keep, cut, parts, "left") if parts else keep.join(F.broadcast(cut), F.lit(True), "left")
+    nth = F.row_number().over(Window.partitionBy(*parts, "quota", "_b").orderBy("_key", "_id"))   # one bucket per quota
+    return edge.withColumn("_rn", nth).where("_rn = _nth").select(*parts, "quota", F.struct("_key", "_id").alias("_cut"))
 
 
 def mark_first(df: DataFrame, key: Column, tiebreak: str, partition_cols: list[str], counts: DataFrame,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import ID, LABEL
-from .ranked import approximate_mode, bucket_counts, mark_first, md5_key, ranked
+from .ranked import approximate_mode, bucket_counts, mark_first, md5_key, null_safe_join, order_statistics
 
 # Split fraction and seed, tuning subsample, sample caps.
 TEST_SIZE = 0.2
@@ -94,6 +94,17 @@ def tuning_subsample(df: DataFrame, fraction: float = TUNING_FRACTION, min_rows:
 
 def stratified_kfold(df: DataFrame, k: int = 3, seed: int = SEED, label: str = LABEL, key: str = ID,
                      fold_col: str = "fold", salt: str = "kfold") -> DataFrame:
-    """Add ``fold`` in [0, k): shuffled, class shares equal across folds (+/-1)."""
-    r = ranked(df, md5_key(key, seed, salt), key, [label])
-    return r.select(*df.columns, ((F.col("_rank") - 1) % k).cast("int").alias(fold_col))
+    """Add ``fold`` in [0, k): shuffled, class shares equal across folds (+/-1).
+
+    The rows of a class in md5 order are cut into ``k`` runs, the first ``n % k`` of them one row longer.  The ``k - 1``
+    cuts of every class are selected together; each row then counts the cuts before it, so no row is shuffled."""
+    order = md5_key(key, seed, salt)
+    counts = bucket_counts(df, order, [label])
+    n, f = F.col("n_c"), F.col("_f")
+    ends = (counts.groupBy(label).agg(F.sum("_bn").alias("n_c"))
+            .withColumn("_f", F.explode(F.sequence(F.lit(1), F.lit(k - 1)) if k > 1 else F.array().cast("array<int>")))
+            .select(label, (f * F.floor(n / F.lit(k)).cast("long") + F.least(f, n % k)).cast("long").alias("quota")).distinct())
+    cuts = order_statistics(df, order, key, [label], counts, ends).groupBy(label).agg(F.collect_list("_cut").alias("_cuts"))
+    mine = F.struct(order.alias("_key"), F.col(key).alias("_id"))
+    before = F.coalesce(F.size(F.filter("_cuts", lambda c: c < mine)), F.lit(0))
+    return null_safe_join(df, cuts, [label], "left").select(*df.columns, before.cast("int").alias(fold_col))

@@ -74,5 +74,7 @@ def _():
 
 @oracle("stratified_kfold")
 def _():
-    return with_fixtures("SELECT id, Class, CAST((rk - 1) % 3 AS INTEGER) AS fold FROM rs",
+    cut = "CAST(rk > {f} * (n // 3) + least({f}, n % 3) AS INTEGER)"
+    return with_fixtures(f"SELECT id, Class, {cut.format(f=1)} + {cut.format(f=2)} AS fold "
+                         "FROM (SELECT *, count(*) OVER (PARTITION BY Class) AS n FROM rs)",
                          rank_cte("rs", "transactions", "42-kfold-"))
