@@ -6,7 +6,7 @@ from math import factorial
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import LABEL, safe_div
@@ -29,60 +29,92 @@ def fraud_ratio_by_hour(df: DataFrame, hour: str = "Hour", label: str = LABEL) -
 
 # ---------------------------------------------------------------- correlation
 
-GRAM_SCHEMA = "a int, b int, n long, sa double, sb double, qa double, qb double, p double"
-
-
-def _gram_partition(d: int):
+# State of a pair of columns over the rows where both are present: count, means, centred sums of squares and products.
+MOMENTS = ("ma", "mb", "caa", "cbb", "cab")
+MOMENT_SCHEMA = "part int, a int, b int, n long, ok boolean, " + ", ".join(f"{c} double" for c in MOMENTS)
+MERGE_PARTS = 1024   # partitions whose states are merged at a time
+
+
+def _merge_moments(x: tuple, y: tuple) -> tuple:
+    """The state ``(n, ma, mb, caa, cbb, cab)`` (d x d arrays) of two sets of rows together."""
+    n = x[0] + y[0]
+    share = np.divide(y[0], n, out=np.zeros_like(n), where=n > 0)
+    da, db, w = y[1] - x[1], y[2] - x[2], x[0] * share
+    return (n, x[1] + da * share, x[2] + db * share, x[3] + y[3] + da * da * w, x[4] + y[4] + db * db * w,
+            x[5] + y[5] + da * db * w)
+
+
+def _batch_moments(x: np.ndarray) -> tuple:
+    """State of the rows of ``x``; they are shifted by column means (a constant column by its value) before any product is
+    taken."""
+    there, finite = ~np.isnan(x), np.isfinite(x)
+    m = there.astype("float64")
+    shift = np.where(finite, x, 0.0).sum(axis=0) / np.maximum(finite.sum(axis=0), 1)
+    low, high = np.where(finite, x, np.inf).min(axis=0), np.where(finite, x, -np.inf).max(axis=0)
+    shift = np.where(low == high, low, shift)
+    x0 = np.where(there, x - shift, 0.0)
+    n = m.T @ m
+    sa = x0.T @ m                                 # sums of column a where column b is present
+    safe = np.maximum(n, 1.0)
+    qa = (x0 * x0).T @ m - sa * sa / safe
+    return (n, np.where(n > 0, sa / safe + shift[:, None], 0.0), np.where(n > 0, sa.T / safe + shift[None, :], 0.0),
+            qa, qa.T, x0.T @ x0 - sa * sa.T / safe)
+
+
+def _partition_moments(d: int):
     def fn(batches):
-        n = np.zeros((d, d)); sa = np.zeros((d, d)); qa = np.zeros((d, d)); pp = np.zeros((d, d))
-        seen = False
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            seen = True
-            x = pdf.to_numpy(dtype="float64", na_value=np.nan)
-            m = np.isfinite(x) | np.isinf(x)
-            m &= ~np.isnan(x)
-            mf = m.astype("float64")
-            x0 = np.where(m, x, 0.0)
-            n += mf.T @ mf
-            sa += x0.T @ mf
-            qa += (x0 * x0).T @ mf
-            pp += x0.T @ x0
-        if not seen:
+        from pyspark import TaskContext
+        state = None
+        with np.errstate(invalid="ignore", over="ignore"):   # infinities make a pair NaN, in the end NULL
+            for pdf in batches:
+                if len(pdf):
+                    one = _batch_moments(pdf.to_numpy(dtype="float64", na_value=np.nan))
+                    state = one if state is None else _merge_moments(state, one)
+        if state is None:
             return
-        a, b = np.meshgrid(np.arange(d), np.arange(d), indexing="ij")
-        yield pd.DataFrame({"a": a.ravel().astype("int32"), "b": b.ravel().astype("int32"),
-                            "n": n.ravel().astype("int64"), "sa": sa.ravel(), "sb": sa.T.ravel(),
-                            "qa": qa.ravel(), "qb": qa.T.ravel(), "p": pp.ravel()})
+        a, b = np.meshgrid(np.arange(d, dtype="int32"), np.arange(d, dtype="int32"), indexing="ij")
+        yield pd.DataFrame({"part": np.int32(TaskContext.get().partitionId()), "a": a.ravel(), "b": b.ravel(),
+                            "n": state[0].ravel().astype("int64"), "ok": np.isfinite(sum(state[1:])).ravel(),
+                            **{c: np.nan_to_num(v.ravel()) for c, v in zip(MOMENTS, state[1:])}})
     return fn
 
 
+def _merged(states: DataFrame, keys: list[str]) -> DataFrame:
+    """Moment states merged inside ``keys``: means first, then each state's distance from them."""
+    w = Window.partitionBy(*keys)
+    total, some = F.sum("n").over(w).cast("double"), F.col("n") > 0
+
+    def mean(c):    # from the least of the means, so that equal means stay what they are
+        return F.coalesce(F.col(f"_{c}") + F.try_divide(F.sum(F.col("n") * (F.col(c) - F.col(f"_{c}"))).over(w), total), F.lit(0.0))
+    at = states.withColumns({f"_{c}": F.min(F.when(some, F.col(c))).over(w) for c in ("ma", "mb")}) \
+        .withColumns({f"_{c}": mean(c) for c in ("ma", "mb")})
+    da, db = F.col("ma") - F.col("_ma"), F.col("mb") - F.col("_mb")
+    return at.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.bool_and("ok").alias("ok"), F.first("_ma").alias("ma"), F.first("_mb").alias("mb"),
+        F.sum(F.col("caa") + F.col("n") * da * da).alias("caa"), F.sum(F.col("cbb") + F.col("n") * db * db).alias("cbb"),
+        F.sum(F.col("cab") + F.col("n") * da * db).alias("cab"))
+
+
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation, pairwise complete: ``(feature_a, ord_a, feature_b,
     ord_b, corr)`` for all ordered pairs.
 
-    Columns are shifted by their means (one aggregate, broadcast one row);
-    each partition then emits its partial Gram sums (d x d rows, numpy), and
-    one partial aggregate adds them up.  NULL/NaN cells drop out pair by pair;
-    a constant column gives NULL."""
-    d = len(cols)
-    mu = df.agg(*[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(f"_mu{i}")
-                  for i, c in enumerate(cols)])
-    centred = df.select(*cols).crossJoin(F.broadcast(mu)).select(
-        *[(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) - F.col(f"_mu{i}")).alias(f"x{i}")
-          for i, c in enumerate(cols)])
-    parts = centred.mapInPandas(_gram_partition(d), GRAM_SCHEMA)
-    g = parts.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "p")])
-    n = F.col("n").cast("double")
-    cov = F.col("p") / n - (F.col("sa") / n) * (F.col("sb") / n)
-    va = F.col("qa") / n - (F.col("sa") / n) * (F.col("sa") / n)
-    vb = F.col("qb") / n - (F.col("sb") / n) * (F.col("sb") / n)
-    r = F.when((n > 0) & (va > 0) & (vb > 0), cov / F.sqrt(va * vb))
+    One scan: each partition folds its batches into one mergeable co-moment
+    state per pair (d x d rows, numpy), and states are merged in two levels of
+    at most ``MERGE_PARTS`` partitions a group.  Products are taken of centred
+    values only, so large means cost no digits.  NULL/NaN cells drop out pair by
+    pair; a constant column, or one with an infinite cell, gives NULL."""
+    x = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"x{i}")
+                    for i, c in enumerate(cols)])
+    states = x.mapInPandas(_partition_moments(len(cols)), MOMENT_SCHEMA)
+    states = states.withColumn("part", F.expr(f"part div {MERGE_PARTS}"))
+    g = _merged(_merged(states, ["a", "b", "part"]), ["a", "b"])
+    r = F.try_divide(F.col("cab"), F.sqrt("caa") * F.sqrt("cbb"))
+    defined = F.col("ok") & (F.col("n") > 0) & (F.col("caa") > 0) & (F.col("cbb") > 0)
     names = F.array(*[F.lit(c) for c in cols])
     return g.select(F.element_at(names, F.col("a") + 1).alias("feature_a"), F.col("a").alias("ord_a"),
                     F.element_at(names, F.col("b") + 1).alias("feature_b"), F.col("b").alias("ord_b"),
-                    F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r)).alias("corr"))
+                    F.when(defined, F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r))).alias("corr"))
 
 
 def corr_lower_triangle(matrix: DataFrame) -> DataFrame:
