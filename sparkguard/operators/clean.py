@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import ID, INF, LABEL, is_numeric_type, nan_to_null, safe_div
+from .fingerprints import SUSPECT, suspects
 from .profile import OUTLIER_FACTOR, _bounds_and_counts
 from .quantiles import quantiles
 
@@ -100,13 +101,17 @@ def handle_missing(df: DataFrame, method: str = "exact") -> DataFrame:
 
 
 def drop_duplicates(df: DataFrame, cols: list[str] | None = None, key: str = ID) -> DataFrame:
-    """Full-row de-duplication on ``cols`` (default all but ``key``), keeping
-    the smallest ``key`` of each group (deterministic ``keep='first'``)."""
+    """De-duplication on ``cols`` (default all but ``key``), keeping the
+    smallest ``key`` of each group (deterministic ``keep='first'``).
+
+    Rows whose fingerprint can't repeat stay where they are; only the others are shuffled and compared on all of ``cols``."""
     cols = cols or [c for c in df.columns if c != key]
     if key not in df.columns:
         return df.dropDuplicates(cols)
-    kept = df.groupBy(*cols).agg(F.min(key).alias(key))
-    return kept.select(*df.columns)
+    marked = suspects(df, cols)
+    rest = [c for c in df.columns if c not in cols and c != key]
+    kept = marked.where(SUSPECT).groupBy(*cols).agg(F.min(F.struct(key, *rest)).alias("_row")).select(*cols, "_row.*")
+    return marked.where(~F.col(SUSPECT)).select(*df.columns).unionByName(kept.select(*df.columns))
 
 
 def fit_caps(df: DataFrame, cols: list[str] | None = None, factor: float = OUTLIER_FACTOR,

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ID, INF, LABEL, V_COLS, numeric_columns, safe_div
+from .fingerprints import SUSPECT, suspects
 from .quantiles import quantiles
 
 # Fixed value: IQR multiplier for outlier bounds.
@@ -49,10 +50,10 @@ def null_report(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def duplicate_count(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """One row: rows equal (on ``cols``, default all but ``id``) to an earlier row.
 
-    A hash aggregate with map-side combine: a group holding a third of all
-    rows is collapsed per partition before the shuffle."""
+    Only rows whose fingerprint may repeat (``fingerprints.suspects``) are compared on all columns; rows of one
+    fingerprint that differ are groups of their own, so the count doesn't rest on the hash."""
     cols = cols or [c for c in df.columns if c != ID]
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+    groups = suspects(df.select(*cols), cols).where(SUSPECT).groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
     return groups.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
