@@ -4,7 +4,7 @@ A flat file is a run of ids with an end-of-document id after each document and n
 blocks ``(file, block, data)`` (Parquet is the container): a block may start and end anywhere in a document.
 ``count_tokens`` never decodes text and has no index:
 
-1. every block is searched once with numpy for the separator;
+1. every block is searched once with numpy for the separator, and the positions are written as a table;
 2. a block is summed up as (separators, end of its last separator);
 3. a two-level prefix scan per file (inside groups of 4 096 blocks, then over the groups) gives each block the number of
    documents before it and where the document that it continues began;
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, scratch_path
+from .common import id_and_text, scratch_path, written
 from .tokens import default_tokenizer, encoder
 
 BLOCK_TOKENS = 1 << 16
@@ -82,8 +82,9 @@ def count_tokens(blocks: DataFrame, end_id: int = 49407) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([file], pa.int32()), pa.array([block], pa.int64()), pa.array([len(ids)], pa.int64()),
                      pa.array([at], pa.list_(pa.int64()))], ["file", "block", "n", "seps"])
-    found = blocks.select("file", "width", "block", "data").mapInArrow(
-        scan, "file int, block long, n long, seps array<long>")
+    # both the sums and the stitching read this table, so that no block is searched twice
+    found = written(blocks.select("file", "width", "block", "data").mapInArrow(
+        scan, "file int, block long, n long, seps array<long>"), "seps")
     # what a block adds to the scan; block 0 tells the block length of its file
     found = found.withColumn("n_sep", F.size("seps")).withColumn("grp", F.expr(f"block div {GROUP_BLOCKS}"))
     in_grp = Window.partitionBy("file", "grp").orderBy("block")
