@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import ID, INF, LABEL, V_COLS, numeric_columns, safe_div
 from .fingerprints import SUSPECT, suspects
-from .quantiles import quantiles
+from .quantiles import iqr_outliers, long_values, quantiles
 
 # Fixed value: IQR multiplier for outlier bounds.
 OUTLIER_FACTOR = 1.5
@@ -86,18 +86,21 @@ def _outside(c: str) -> Column:
 def _bounds_and_counts(df: DataFrame, cols: list[str], factor: float, method: str) -> DataFrame:
     """One row: bounds and strict-outlier counts per column, plus the row count.
 
-    Fit-like (eager): the bounds row is fetched, the counting pass runs in
-    long form ``(column, value)`` joined to per-column bounds (broadcast, one
-    row per column) and grouped by column -- small code, one reduce task per
-    column -- and the few result rows come back as one literal row."""
-    from .quantiles import long_values
+    Fit-like (eager): the exact method takes two scans (``quantiles.iqr_outliers``); the others fetch the bounds and
+    count in long form ``(column, value)`` against them.  The few numbers come back as one literal row."""
     spark = df.sparkSession
-    b = iqr_bounds(df, cols, factor, method).first()
-    bl = spark.createDataFrame([(i, b[f"{c}__lo"], b[f"{c}__hi"]) for i, c in enumerate(cols)],
-                               "_c int, lo double, hi double")
-    out_cnt = {r["_c"]: r["n"] for r in long_values(df, cols).join(F.broadcast(bl), ["_c"]).groupBy("_c")
-               .agg(F.count_if((F.col("_x") < F.col("lo")) | (F.col("_x") > F.col("hi"))).alias("n")).collect()}
-    n_rows = df.count()
+    if method == "exact":
+        n_rows, found = iqr_outliers(df, cols, factor)
+        b = {f"{c}__{s}": v for i, c in enumerate(cols)
+             for s, v in zip(("q1", "q3", "lo", "hi"), found.get(i, (None,) * 4))}
+        out_cnt = {i: f[4] for i, f in found.items()}
+    else:
+        b = iqr_bounds(df, cols, factor, method).first()
+        bl = spark.createDataFrame([(i, b[f"{c}__lo"], b[f"{c}__hi"]) for i, c in enumerate(cols)],
+                                   "_c int, lo double, hi double")
+        out_cnt = {r["_c"]: r["n"] for r in long_values(df, cols).join(F.broadcast(bl), ["_c"]).groupBy("_c")
+                   .agg(F.count_if((F.col("_x") < F.col("lo")) | (F.col("_x") > F.col("hi"))).alias("n")).collect()}
+        n_rows = df.count()
     names, values = ["_n"], [n_rows]
     for i, c in enumerate(cols):
         for sfx in ("q1", "q3", "lo", "hi"):
@@ -113,8 +116,7 @@ def iqr_outlier_report(df: DataFrame, cols: list[str] | None = None,
                        factor: float = OUTLIER_FACTOR, method: str = "exact") -> DataFrame:
     """``(column, ord, q1, q3, lower_bound, upper_bound, outlier_count, outlier_pct)``.
 
-    Pass 1 fits the bounds (one aggregate); pass 2 counts strict outliers with
-    the one-row bounds broadcast to every task."""
+    The exact method reads the rows twice, for quartiles and outlier counts together."""
     cols = cols or numeric_columns(df, exclude=(ID,))
     one = _bounds_and_counts(df, cols, factor, method)
     return one.select(_rows([
@@ -202,7 +204,6 @@ def describe(df: DataFrame, cols: list[str] | None = None, method: str = "exact"
     q75, max)``; std is the sample (n-1) deviation; quartiles are exact.
     Moments come from a long-form ``groupBy(column)`` (one reduce task per
     column); the quartiles from the quantile fit, joined on the column index."""
-    from .quantiles import long_values, quantiles
     cols = cols or numeric_columns(df, exclude=(ID,))
     spark = df.sparkSession
     mom = long_values(df, cols).groupBy("_c").agg(
