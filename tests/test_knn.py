@@ -1,5 +1,6 @@
 """Neighbours by Voronoi cells: equal to all pairs, few pairs compared on clustered rows, copies of one row."""
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +81,38 @@ def test_bounds_are_below_every_distance():
     low, true = cells.bounds(far), np.sqrt(knn.squared_distances(x, x))
     for c in range(20):
         assert (low[:, c] <= true[:, cell == c].min(axis=1) + 1e-12).all()
+
+
+def test_a_batch_of_packs_stays_small(spark, monkeypatch):
+    """Rows without structure go to every cell: what a task holds at a time must not be queries x cells."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 20))
+    cells = knn.Cells(x[:300])
+    cells.sizes[:] = 10
+    cells.radius[:] = 9.0
+    sizes, plain = [], pa.RecordBatch.from_arrays
+
+    class Seen:
+        @staticmethod
+        def from_arrays(arrays, names):
+            sizes.append(sum(a.nbytes for a in arrays))
+            return plain(arrays, names)
+    frame = spark.createDataFrame([(i, [float(v) for v in r], 1e9) for i, r in enumerate(x)], "id long, v array<double>, bound double")
+    runs = []
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, run, schema: runs.append(run))
+    knn.route(frame, cells, 20, 5, False)
+    batch = pa.table({"id": np.arange(3000), "v": pa.array(list(x), pa.list_(pa.float64())), "bound": np.full(3000, 1e9)}).to_batches()[0]
+    monkeypatch.setattr(knn.pa, "RecordBatch", Seen)
+    sent = sum(sum(len(q) for q in b.column("q_ids").to_pylist()) for b in runs[0](iter([batch])))
+    assert sent > 800_000 and max(sizes) <= 12 * knn.SENT, (sent, max(sizes))
+
+
+def test_proposed_pairs_keep_the_nearest():
+    rng = np.random.default_rng(7)
+    for far in (0.0, 1e6, 1e160):
+        q, c = rng.normal(size=(40, 5)) + far, np.repeat(rng.normal(size=(60, 5)) + far, 2, axis=0)
+        r, j, dist = knn.near_pairs(q, c, np.full(40, np.inf), 7)
+        full = knn.squared_distances(q, c)
+        assert (dist == full[r, j]).all()
+        for i in range(40):
+            assert sorted(dist[r == i])[:7] == sorted(full[i])[:7]
