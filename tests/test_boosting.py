@@ -200,3 +200,16 @@ def test_shapley_of_a_library_model(frame, data):
     got = shapley(fitted, full.where("id < 5"), full.where("id < 30"))
     for i, by in got.items():
         assert np.allclose([by[f].phi for f in range(D)], enumerated(margin, x[i], x[:30]), atol=1e-9)
+
+
+def test_many_rows_are_written_every_second_tree(binned, monkeypatch):
+    """Passes walk one finished tree at most above MANY_ROWS; the trees stay the same."""
+    p = replace(B.LEAFWISE, rounds=5, leaves=6)
+    few, = B.fit_many(binned, [p])
+    walked, plain = [], B._pass
+    monkeypatch.setattr(B, "MANY_ROWS", 0)
+    monkeypatch.setattr(B, "_pass", lambda state, fits, *rest: (walked.append(max(len(f[3]) for f in fits)), plain(state, fits, *rest))[1])
+    many, = B.fit_many(binned, [p])
+    assert max(walked) == 1
+    for s, t in zip(few.trees, many.trees, strict=True):
+        assert all(np.array_equal(getattr(s, k), getattr(t, k)) for k in ("feature", "bin", "value", "gain"))
