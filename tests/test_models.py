@@ -52,3 +52,16 @@ def test_evaluate_pipeline(spark, sf):
     assert out["comparison"].count() == 3
     assert out["threshold_sweep"].count() == 18
     assert out["conclusions"].count() == 1
+
+
+def test_fits_hold_few_rows_and_columns_a_task(spark, monkeypatch):
+    """A fit's cached rows are dealt out by their number, and hold no column that it doesn't read."""
+    df = _data(spark).coalesce(1)
+    plain = ML.fit_model(df, ["a", "b"], "logistic_regression")
+    monkeypatch.setattr(ML, "TASK_ROWS", 20)
+    held = ML.held_rows(ML.prepare(df, ["a", "b"], "logistic_regression"), 400)
+    assert held.columns == ["features", "Class", "w"] and held.count() == 400
+    assert max(held.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()) <= 60
+    held.unpersist()
+    again = ML.fit_model(df, ["a", "b"], "logistic_regression")
+    assert max(abs(plain.coefficients.toArray() - again.coefficients.toArray())) < 1e-6
