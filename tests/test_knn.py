@@ -116,3 +116,14 @@ def test_proposed_pairs_keep_the_nearest():
         assert (dist == full[r, j]).all()
         for i in range(40):
             assert sorted(dist[r == i])[:7] == sorted(full[i])[:7]
+
+
+def test_a_row_given_twice_asks_once(spark):
+    """The same id and values twice: the point is one query, and no neighbour is listed twice for it."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(40, 3))
+    frame = _frame(spark, np.vstack([x, x[:10]]), [*range(40), *range(10)])
+    got = [(r.id, r.k_idx) for r in knn.nearest_neighbours(frame, 4).where("id >= 10").collect()]
+    assert len(got) == len(set(got)) == 30 * 4
+    rows = knn.nearest_neighbours(frame, 4).where("id < 10").groupBy("id", "k_idx").agg(F.count_distinct("nb_id").alias("n")).collect()
+    assert rows and all(r.n == 1 for r in rows)
