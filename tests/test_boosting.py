@@ -213,3 +213,19 @@ def test_many_rows_are_written_every_second_tree(binned, monkeypatch):
     assert max(walked) == 1
     for s, t in zip(few.trees, many.trees, strict=True):
         assert all(np.array_equal(getattr(s, k), getattr(t, k)) for k in ("feature", "bin", "value", "gain"))
+
+
+def test_rows_that_fit_a_task_need_no_pass(spark, frame, monkeypatch):
+    """The trees of one task are those of the passes, with sampled rows and columns, left-out folds and unequal rounds too."""
+    b = B.bin_features(frame.withColumn("fold", F.col("id") % 3), FEATS, fold="fold", bins=16)
+    some = [replace(B.LEAFWISE, rounds=4, leaves=7, fold=1), replace(B.SECOND_ORDER, rounds=3, depth=3, columns=0.5, rows=0.7, positive_weight=5.0),
+            replace(B.LEAFWISE, rounds=2, rows=0.8, depth=4)]
+    with monkeypatch.context() as m:
+        m.setattr(B, "_pass", None)
+        m.setattr(B, "BLOCK_ROWS", 1000)
+        here = B.fit_many(b, some)
+    monkeypatch.setattr(B, "FEW_ROWS", 0)
+    for a, c in zip(here, B.fit_many(b, some), strict=True):
+        assert len(a.trees) == a.params.rounds
+        for s, t in zip(a.trees, c.trees, strict=True):
+            assert all(np.array_equal(getattr(s, k), getattr(t, k)) for k in ("feature", "bin", "left", "value", "gain"))
